@@ -7,8 +7,8 @@ from its most to its least frequent token, go into a trie; every set is then run
 partial overlaps between sets with equal beginnings and leaving subtrees whose remaining lengths can't reach
 the overlap needed.
 
-Equal sets are joined by their digest first and enter the search once. Families too large for one task are dealt
-out again by shared token; a token's group above the bound is searched in chunks against a block of pivots, and only
+Equal sets are joined by their digest first and enter the search once. A family too large for one task, as common passages make
+them, is sifted once more by all its tokens, and what is large even then is dealt out by shared token; a token's group above the bound is searched in chunks against a block of pivots, and only
 what the pivots leave unconnected is searched against every chunk. So no task holds an unbounded group, no
 pairs of a group are listed, and no link between different components is lost.
 """
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transitnet.llm.common import checkpointed, chunks, components
@@ -321,26 +321,14 @@ def _search(num: int, den: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of docs (doc_id, text).
-
-    Two documents link when den * |intersection| >= num * |union| of their sets of ``words``-word shingles
-    (A-Z as a-z; a shorter text's whole sequence is its one shingle). component_id is the smallest doc_id reachable by links.
+def _families(posts: DataFrame, least: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Candidates by shared tokens. posts: (rep, n, token), of which two that link share ``least`` or more.
 
-    A null, empty or blank text has an empty set and links with nothing. Rows that repeat a doc_id are one node
-    with the links of all of them, and each returns a row. A null doc_id returns a row with its n_shingles and a null
-    component_id and links with nothing. Other columns are ignored, whatever their names. An empty table gives no rows.
+    A rep with fewer tokens that any other has can link with nothing. Of the rest, so many of the rarest are kept that
+    two that link share one of them. Returns what is kept (rep, n, token), the tokens' groups of two or more, and the
+    members (component, rep, n, k, weight) of the families that the groups make up, with their families' documents and tokens.
     """
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    feats = checkpointed(text.mapInArrow(_features(words, num, den), "doc_id long, n long, d1 long, d2 long, first array<long>"))
-    some = feats.where("n > 0 and doc_id is not null")
-    reps = some.groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "first")).alias("r"))
-    reps = checkpointed(reps.select("d1", "d2", "n", F.col("r.doc_id").alias("rep"), F.col("r.first").alias("first")))
-
-    # Documents that share enough of their first tokens with anyone, and of these tokens the rarest.
-    posts = reps.where(F.size("first") > 0).select("rep", "n", F.explode("first").alias("token"))
     shared = posts.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
-    least = F.floor(F.ceil(F.col("n") * num / den) / 20) + 1
     held = (
         posts.join(shared, "token")
         .groupBy("rep", "n")
@@ -354,22 +342,48 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
         F.bit_xor(F.xxhash64("rep")).alias("s1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("s2"),
     ).where("k > 1")
     groups = checkpointed(groups)
-
-    # Candidate families; a small one is searched whole, a large one by token.
     family = components(held.join(groups, "token").select(F.col("rep").alias("a"), "b"))
     members = held.select("rep", "n").distinct().join(family, F.col("rep") == F.col("node"), "left")
     roots = family.select("component").distinct()
     members = members.select("rep", "n", F.coalesce("component", "rep").alias("component")).join(roots, "component", "left_semi")
     sizes = members.groupBy("component").agg(F.count("*").alias("k"), F.sum("n").alias("weight"))
-    members = checkpointed(members.join(sizes, "component"))
+    return held, groups, checkpointed(members.join(sizes, "component"))
+
+
+def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of docs (doc_id, text).
+
+    Two documents link when den * |intersection| >= num * |union| of their sets of ``words``-word shingles
+    (A-Z as a-z; a shorter text's whole sequence is its one shingle). component_id is the smallest doc_id reachable by links.
+
+    A null, empty or blank text has an empty set and links with nothing. Rows that repeat a doc_id are one node
+    with the links of all of them, and each returns a row. A null doc_id returns a row with its n_shingles and a null
+    component_id and links with nothing. Other columns are ignored, whatever their names. An empty table gives no rows.
+    """
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    feats = checkpointed(text.mapInArrow(_features(words, num, den), "doc_id long, n long, d1 long, d2 long, first array<long>"))
+    some = feats.where("n > 0 and doc_id is not null")
+    reps = some.groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "first")).alias("r"))
+    reps = checkpointed(reps.select("d1", "d2", "n", F.col("r.doc_id").alias("rep"), F.col("r.first").alias("first")))
+
+    # By the first tokens: who can link with whom at all. A small family of candidates is searched whole.
+    least = F.ceil(F.col("n") * num / den)
+    first = reps.where(F.size("first") > 0).select("rep", "n", F.explode("first").alias("token"))
+    _, _, members = _families(first, F.floor(least / 20) + 1)
     small = (F.col("k") <= UNIT_DOCS) & (F.col("weight") <= 2 * UNIT_TOKENS)
     units = members.where(small).select(F.xxhash64(F.lit("family"), "component").alias("unit"), "rep")
-    large = members.where(~small).select("rep", "n")
-    split = None
+    sets = text.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_sets(words), "doc_id long, tokens array<long>")
+    large, split = members.where(~small).select("rep", "n"), None
     if not large.isEmpty():
+        # A large one may hang together by common passages. Again by all tokens, of which nearly all must be shared.
+        sets = checkpointed(sets)
+        whole = sets.join(large, F.col("doc_id") == F.col("rep")).select("rep", F.size("tokens").cast("long").alias("n"), F.explode("tokens").alias("token"))
+        held, groups, members = _families(whole, least)
+        units = units.union(members.where(small).select(F.xxhash64(F.lit("dense family"), "component"), "rep"))
+        # Families that are large even so are dealt out by token.
         distinct = groups.groupBy("k", "s1", "s2").agg(F.min("token").alias("token"), F.first("weight").alias("weight"))
         parts = F.greatest(F.ceil(F.col("k") / UNIT_DOCS), F.ceil(F.col("weight") / UNIT_TOKENS)).cast("long")
-        rows = held.join(large.select("rep"), "rep", "left_semi").join(distinct.select("token", "k", parts.alias("parts")), "token")
+        rows = held.join(members.where(~small).select("rep").distinct(), "rep", "left_semi").join(distinct.select("token", "k", parts.alias("parts")), "token")
         rows = checkpointed(rows.select("token", "rep", "k", "parts", F.pmod(F.xxhash64("rep", F.lit(2)), "parts").alias("part")))
         units = units.union(rows.where("parts = 1").select(F.xxhash64(F.lit("token"), "token"), "rep"))
         split = rows.where("parts > 1")
@@ -377,10 +391,6 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
         pivot = pivot.select("token", "rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
         units = units.union(split.select("token", "rep", "part").union(pivot).distinct().select(F.xxhash64(F.lit("chunk"), "token", "part"), "rep"))
 
-    sets = text.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_sets(words), "doc_id long, tokens array<long>")
-    if split is not None:
-        sets = checkpointed(sets)
-
     def searched(units: DataFrame) -> DataFrame:
         rows = units.join(sets, F.col("rep") == F.col("doc_id")).select("unit", "doc_id", "tokens")
         return checkpointed(rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(_search(num, den), "a long, b long"))
