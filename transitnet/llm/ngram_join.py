@@ -28,6 +28,8 @@ from transitnet.llm.common import checkpointed, chunks, components
 UNIT_DOCS, UNIT_TOKENS = 256, 2_000_000
 #: About so many documents of an over-large token group are compared with all the group first.
 PIVOTS = 64
+#: Candidates whose ids are broadcast to pick their texts; more of them are joined by a shuffle of the texts.
+BROADCAST = 500_000
 #: Bytes of text that are hashed at once.
 SEGMENT = 1 << 20
 
@@ -145,15 +147,16 @@ def _alone(n: int, num: int, den: int) -> bool:
 
 
 def _sets(words: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+    """Over rows (doc_id, text, unit): (doc_id, unit, tokens)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("unit", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
             for part in chunks(rows, lambda x: len(x[1] or b""), 2 * SEGMENT):
-                sets = [shingle_set(w, words).view(np.int64) for w in word_hashes([t or b"" for _, t in part])]
+                sets = [shingle_set(w, words).view(np.int64) for w in word_hashes([t or b"" for _, t, _ in part])]
                 lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, sets)]).astype(np.int32), pa.array(np.concatenate(sets)))
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in part], pa.int64()), lists], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), pa.array([x[2] for x in part], pa.int64()), lists], schema=schema)
 
     return run
 
@@ -363,39 +366,44 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     feats = checkpointed(text.mapInArrow(_features(words, num, den), "doc_id long, n long, d1 long, d2 long, first array<long>"))
     some = feats.where("n > 0 and doc_id is not null")
-    reps = some.groupBy("d1", "d2", "n").agg(F.min(F.struct("doc_id", "first")).alias("r"))
-    reps = checkpointed(reps.select("d1", "d2", "n", F.col("r.doc_id").alias("rep"), F.col("r.first").alias("first")))
+    reps = checkpointed(some.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")))
 
     # By the first tokens: who can link with whom at all. A small family of candidates is searched whole.
     least = F.ceil(F.col("n") * num / den)
-    first = reps.where(F.size("first") > 0).select("rep", "n", F.explode("first").alias("token"))
+    first = some.where(F.size("first") > 0).join(reps.select("d1", "d2", F.col("rep").alias("doc_id")), ["doc_id", "d1", "d2"], "left_semi")
+    first = first.select(F.col("doc_id").alias("rep"), "n", F.explode("first").alias("token"))
     _, _, members = _families(first, F.floor(least / 20) + 1)
     small = (F.col("k") <= UNIT_DOCS) & (F.col("weight") <= 2 * UNIT_TOKENS)
-    units = members.where(small).select(F.xxhash64(F.lit("family"), "component").alias("unit"), "rep")
-    sets = text.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_sets(words), "doc_id long, tokens array<long>")
-    large, split = members.where(~small).select("rep", "n"), None
+    unit = F.when(small, F.xxhash64(F.lit("family"), "component"))
+    members = members.select(F.col("rep").alias("doc_id"), unit.alias("unit"))
+    if members.count() <= BROADCAST:
+        members = F.broadcast(members)
+    sets = checkpointed(text.join(members, "doc_id").mapInArrow(_sets(words), "doc_id long, unit long, tokens array<long>"))
+    families, dealt, split = sets.where("unit is not null").select("unit", "doc_id", "tokens"), None, None
+    large = sets.where("unit is null").select("doc_id", "tokens")
     if not large.isEmpty():
         # A large one may hang together by common passages. Again by all tokens, of which nearly all must be shared.
-        sets = checkpointed(sets)
-        whole = sets.join(large, F.col("doc_id") == F.col("rep")).select("rep", F.size("tokens").cast("long").alias("n"), F.explode("tokens").alias("token"))
+        whole = large.select(F.col("doc_id").alias("rep"), F.size("tokens").cast("long").alias("n"), F.explode("tokens").alias("token"))
         held, groups, members = _families(whole, least)
-        units = units.union(members.where(small).select(F.xxhash64(F.lit("dense family"), "component"), "rep"))
+        dealt = members.where(small).select(F.xxhash64(F.lit("dense family"), "component").alias("unit"), "rep")
         # Families that are large even so are dealt out by token.
         distinct = groups.groupBy("k", "s1", "s2").agg(F.min("token").alias("token"), F.first("weight").alias("weight"))
         parts = F.greatest(F.ceil(F.col("k") / UNIT_DOCS), F.ceil(F.col("weight") / UNIT_TOKENS)).cast("long")
         rows = held.join(members.where(~small).select("rep").distinct(), "rep", "left_semi").join(distinct.select("token", "k", parts.alias("parts")), "token")
         rows = checkpointed(rows.select("token", "rep", "k", "parts", F.pmod(F.xxhash64("rep", F.lit(2)), "parts").alias("part")))
-        units = units.union(rows.where("parts = 1").select(F.xxhash64(F.lit("token"), "token"), "rep"))
+        dealt = dealt.union(rows.where("parts = 1").select(F.xxhash64(F.lit("token"), "token"), "rep"))
         split = rows.where("parts > 1")
         pivot = split.where(F.pmod(F.xxhash64("rep", F.lit(3)), F.greatest(F.floor(F.col("k") / PIVOTS), F.lit(1)).cast("long")) == 0)
         pivot = pivot.select("token", "rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-        units = units.union(split.select("token", "rep", "part").union(pivot).distinct().select(F.xxhash64(F.lit("chunk"), "token", "part"), "rep"))
+        dealt = dealt.union(split.select("token", "rep", "part").union(pivot).distinct().select(F.xxhash64(F.lit("chunk"), "token", "part"), "rep"))
+
+    def dealt_sets(units: DataFrame) -> DataFrame:
+        return units.join(large, F.col("rep") == F.col("doc_id")).select("unit", "doc_id", "tokens")
 
-    def searched(units: DataFrame) -> DataFrame:
-        rows = units.join(sets, F.col("rep") == F.col("doc_id")).select("unit", "doc_id", "tokens")
+    def searched(rows: DataFrame) -> DataFrame:
         return checkpointed(rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(_search(num, den), "a long, b long"))
 
-    links = searched(units)
+    links = searched(families if dealt is None else families.union(dealt_sets(dealt)))
     found = components(links)
     if split is not None and not split.isEmpty():
         # In each split group, all that the pivots have not joined with its largest component meets every chunk.
@@ -409,7 +417,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
             every = now.select("token", "rep", "part", each("outs").alias("out"))
             rest = now.where("component <> main").select("token", "rep", each("parts").alias("part"), F.pmod(F.xxhash64("rep", F.lit(4)), "outs").alias("out"))
             again = every.union(rest).distinct().select(F.xxhash64(F.lit("rest"), "token", "part", "out").alias("unit"), "rep")
-            found = components(links.union(searched(again)))
+            found = components(links.union(searched(dealt_sets(again))))
 
     ends = reps.select("d1", "d2", "n", "rep").join(found, F.col("rep") == F.col("node"), "left").select("d1", "d2", "n", F.coalesce("component", "rep").alias("component_id"))
     # Rows that share a doc_id are one node, though their sets differ.
