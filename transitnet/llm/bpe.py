@@ -9,9 +9,11 @@ the index. Each document is then put together from its words' tokens.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,8 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 
 from transitnet.llm.common import chunks
 
-#: Characters of text whose words are merged together, and words whose tokens are remembered from one stretch to the next.
-STRETCH, MEMORY = 8_000_000, 400_000
+#: Characters of a stretch of text, words that are merged together, and words that are remembered from one stretch to the next.
+STRETCH, TOGETHER, MEMORY = 1_500_000, 40_000, 500_000
 
 
 class Merges:
@@ -45,8 +47,8 @@ class Merges:
                 if a is not None and b is not None:
                     self.merged[a * self.size + b] = r
 
-    def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word; none empty."""
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words end to end, how many each has); no word is empty."""
         data = np.frombuffer(b"".join(words), np.uint8)
         ends = np.cumsum([len(w) for w in words])
         token = self.single[data].tolist()
@@ -112,8 +114,7 @@ class Merges:
                 heapq.heappush(queue, (rank, pair))
         flat = np.array(token, np.int64)
         left_over = np.cumsum(flat >= 0)
-        ids = flat[flat >= 0].astype(np.int32)
-        return np.split(ids, left_over[ends[:-1] - 1]) if len(words) else []
+        return flat[flat >= 0].astype(np.int32), np.diff(left_over[ends - 1], prepend=0)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(self.tokens[ids])
@@ -129,11 +130,12 @@ class Encoder:
     """Encodes stretches of texts, remembering frequent words between them."""
 
     def __init__(self, merges: Merges):
-        self.merges, self.known, self.words = merges, {}, []
+        self.merges, self.known = merges, {}
+        self.flat, self.length = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > MEMORY:
-            self.known, self.words = {}, []
+            self.known, self.flat, self.length = {}, self.flat[:0], self.length[:0]
         known, find = self.known, self.merges.find
         had = len(known)
         rows, counts = [], []
@@ -142,10 +144,10 @@ class Encoder:
             rows += [known.setdefault(w, len(known)) for w in own]
             counts.append(len(own))
         if len(known) > had:
-            new = list(known)[had:] if had else list(known)
-            self.words += self.merges.encode_words([w.encode("utf-8", "surrogatepass") for w in new])
-            self.flat = np.concatenate(self.words)
-            self.length = np.array([len(w) for w in self.words])
+            new = list(islice(known, had, None))
+            done = [self.merges.encode_words([w.encode("utf-8", "surrogatepass") for w in new[at : at + TOGETHER]]) for at in range(0, len(new), TOGETHER)]
+            self.flat = np.concatenate([self.flat, *(ids for ids, _ in done)])
+            self.length = np.concatenate([self.length, *(n for _, n in done)])
             self.start = np.cumsum(self.length) - self.length
         if not rows:
             return [np.zeros(0, np.int32) for _ in texts]
@@ -157,6 +159,16 @@ class Encoder:
         return np.split(ids, np.concatenate([[0], until])[cuts])
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], at: int, merges: Merges) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Stretches of the batches with the ids of their texts, which stand in column ``at``."""
+    encoder = Encoder(merges)
+    for batch in batches:
+        begin = 0
+        for part in chunks(((t.as_py() or "",) for t in batch.column(at)), lambda t: len(t[0]), STRETCH):
+            yield batch.slice(begin, len(part)), encoder.encode([t for (t,) in part])
+            begin += len(part)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, name: str = "ids", decoded: str | None = "decoded") -> DataFrame:
     """docs with the column ``name``, the text's token ids, and ``decoded``, the bytes that the ids stand for.
 
@@ -169,37 +181,29 @@ def encode(docs: DataFrame, path: str, pattern: str, name: str = "ids", decoded:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = load(path, pattern)
-        encoder = Encoder(merges)
-        for batch in batches:
-            begin = 0
-            for part in chunks(((t or "",) for t in batch.column(at).to_pylist()), lambda t: len(t[0]), STRETCH):
-                ids = encoder.encode([t for (t,) in part])
-                offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                columns = [*batch.slice(begin, len(part)).columns, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids), pa.int32()))]
-                if decoded:
-                    columns.append(pa.array([merges.decode(x) for x in ids], pa.binary()))
-                begin += len(part)
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        for own, ids in _encoded(batches, at, merges):
+            offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            columns = [*own.columns, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids), pa.int32()))]
+            if decoded:
+                columns.append(pa.array([merges.decode(x) for x in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     added = [StructField(name, ArrayType(IntegerType())), *([StructField(decoded, BinaryType())] if decoded else [])]
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *added]))
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: encode()'s results, hashed where they are made.
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: what encode() gives, hashed where it is made.
 
     The ids are hashed as little-endian unsigned 32-bit integers.
     """
-    import hashlib
-
-    rows = encode(docs.select("doc_id", "text"), path, pattern).select("doc_id", "ids", "decoded")
+    rows = docs.select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(1)
-            flat, cuts = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
-            sums = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            back = [hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(cuts).astype(np.int64)), pa.array(sums), pa.array(back)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        merges = load(path, pattern)
+        for own, ids in _encoded(batches, 1, merges):
+            sums = [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids]
+            back = [hashlib.sha256(merges.decode(x)).hexdigest() for x in ids]
+            yield pa.RecordBatch.from_arrays([own.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(sums), pa.array(back)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return rows.mapInArrow(run, StructType([rows.schema["doc_id"]]).add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string"))
