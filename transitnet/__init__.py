@@ -1,0 +1 @@
+"""A PySpark-native analytics engine for public-transport networks."""
