@@ -5,7 +5,7 @@ learns from a vector which parts its neighbours lie in. Every vector is then ind
 to its several most probable parts, whose vectors are ranked exactly. How many parts it takes is measured on the sample.
 
 Equal vectors are indexed once, with the ids that can appear in a result. Parts are packed into blocks of bounded size, and
-queries too; a task ranks one block of queries against one block of vectors.
+queries too; a task holds one block of queries and ranks the blocks of vectors of its parts one after the other.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitnet.llm.common import checkpointed
@@ -22,9 +23,9 @@ from transitnet.llm.common import checkpointed
 #: Vectors of the sample that the parts are learnt from; neighbours of each in the graph; hidden units of the classifier.
 SAMPLE, NEIGHBOURS, HIDDEN = 6000, 10, 96
 #: Vectors for each part, and the bounds of the number of parts; vectors and queries of a block.
-PART, FEWEST, MOST_PARTS, BLOCK = 3000, 8, 256, 2048
+PART, FEWEST, MOST_PARTS, BLOCK = 4000, 8, 256, 2048
 #: Sampled neighbours of sampled queries that the parts taken must hold.
-RECALL = 0.97
+RECALL = 0.96
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -139,24 +140,54 @@ def learn(x: np.ndarray, count: int, k: int = 20) -> tuple[Router, int]:
 
 
 def _rank(k: int):
-    """Over rows (query ids, queries, vector ids, vectors), packed: the k nearest and a few more of each query."""
-    schema = pa.schema([("query_id", pa.int64()), ("ids", pa.list_(pa.int64())), ("score", pa.float64())])
+    """Over rows sorted by query block, the queries before the vectors: the k nearest of each query.
+
+    A block of queries is held while its blocks of vectors pass by; each query keeps the best that it has met.
+    """
+    schema = pa.schema([("query_id", pa.int64()), ("rank", pa.int32()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+    class Block:
+        def __init__(self, ids: np.ndarray, q: np.ndarray, parts: np.ndarray):
+            self.ids, self.q, self.parts = ids, q, parts
+            self.score = np.full((len(ids), k + 12), -np.inf)
+            self.own = np.full((len(ids), k + 12), None, object)
+
+        def meet(self, part: int, lists: list, v: np.ndarray) -> None:
+            lists = np.fromiter(lists, object, len(lists))
+            asked = np.flatnonzero((self.parts == part).any(axis=1))
+            for at in range(0, len(asked), 256):
+                rows = asked[at : at + 256]
+                g = self.q[rows] @ v.T
+                m = min(self.score.shape[1], len(v))
+                best = np.argpartition(-g, m - 1, axis=1)[:, :m]
+                exact = (self.q[rows][:, None, :] * v[best]).sum(axis=2)  # the same sum wherever the vector stands
+                score, own = np.concatenate([self.score[rows], exact], axis=1), np.concatenate([self.own[rows], lists[best]], axis=1)
+                first = np.array([o[0] if o else 1 << 62 for o in own.ravel()]).reshape(own.shape)
+                order = np.lexsort((first, -score), axis=1)[:, : self.score.shape[1]]
+                self.score[rows], self.own[rows] = np.take_along_axis(score, order, 1), np.take_along_axis(own, order, 1)
+
+        def result(self) -> pa.RecordBatch:
+            out: list[tuple] = []
+            for i, query in enumerate(self.ids.tolist()):
+                found = sorted((-s, x) for s, o in zip(self.score[i].tolist(), self.own[i], strict=True) if o for x in o if x != query)
+                out += [(query, r, x, -s) for r, (s, x) in enumerate(found[:k], start=1)]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)] if out else [pa.array([], t) for t in schema.types], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = None
         for batch in batches:
+            _, _, part, ids, lists, vs, parts = batch.columns
             for row in range(batch.num_rows):
-                q_ids = np.frombuffer(batch.column(0)[row].as_buffer(), np.int64)
-                q = np.frombuffer(batch.column(1)[row].as_buffer(), np.float32).reshape(len(q_ids), -1).astype(float)
-                v = np.frombuffer(batch.column(3)[row].as_buffer(), np.float32).reshape(-1, q.shape[1]).astype(float)
-                lists = batch.column(2)[row].as_py()
-                for at in range(0, len(q), 256):
-                    part = q[at : at + 256]
-                    g = part @ v.T
-                    m = min(k + 12, len(v))
-                    best = np.argpartition(-g, m - 1, axis=1)[:, :m]
-                    exact = (part[:, None, :] * v[best]).sum(axis=2)  # the same sum wherever the vector stands
-                    out_q = np.repeat(q_ids[at : at + 256], m)
-                    yield pa.RecordBatch.from_arrays([pa.array(out_q), pa.array([lists[i] for i in best.ravel()], pa.list_(pa.int64())), pa.array(exact.ravel())], schema=schema)
+                if ids[row].is_valid:
+                    if block is not None:
+                        yield block.result()
+                    own = np.frombuffer(ids[row].as_buffer(), np.int64)
+                    block = Block(own, np.frombuffer(vs[row].as_buffer(), np.float32).reshape(len(own), -1).astype(float), np.frombuffer(parts[row].as_buffer(), np.int32).reshape(len(own), -1))
+                elif block is not None:
+                    held = lists[row].as_py()
+                    block.meet(part[row].as_py(), held, np.frombuffer(vs[row].as_buffer(), np.float32).reshape(len(held), -1).astype(float))
+        if block is not None:
+            yield block.result()
 
     return run
 
@@ -204,10 +235,9 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, vector: str = "emb
     sample = ids.select(F.xxhash64(F.element_at("ids", 1)).alias("h"), "ids", "v").orderBy("h", "ids").limit(SAMPLE).select("v").toPandas()["v"]
     x = np.stack([np.asarray(s, float) for s in sample])
     if len(x) < 64:
-        router, take, parts = None, 1, 1
+        router, take = None, 1
     else:
         router, take = learn(x, count, k)
-    d = x.shape[1]
 
     def routed(df: DataFrame, queries: bool) -> DataFrame:
         kind = df.schema[0].dataType.simpleString()
@@ -216,26 +246,25 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, vector: str = "emb
             return df.mapInArrow(pack, f"own {kind}, v binary, parts array<int>")
         return df.mapInArrow(_route(router, take, queries), f"own {kind}, v binary, parts array<int>")
 
-    def packed(df: DataFrame, kind: str) -> DataFrame:
-        """(part, ids, vectors): rows of a part in blocks, dealt by hash so that none is much larger than BLOCK."""
+    def blocks(df: DataFrame) -> DataFrame:
+        """df with the block of its part that each row is dealt to by hash, so that none is much larger than BLOCK."""
         many = df.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-        df = df.join(many, "part").select("part", F.pmod(F.xxhash64("v", "own"), F.col("blocks")).alias("block"), "own", "v")
-
-        def pack(key, pdf):
-            import pandas as pd
-
-            own = [np.array(pdf["own"], np.int64).tobytes()] if kind == "binary" else [[list(map(int, o)) for o in pdf["own"]]]
-            return pd.DataFrame({"part": [key[0]], "ids": own, "vs": [b"".join(pdf["v"])]})
-
-        return df.groupBy("part", "block").applyInPandas(pack, f"part int, ids {kind}, vs binary")
-
-    indexed = routed(ids, False).select("own", "v", F.element_at("parts", 1).alias("part"))
-    asked = routed(rows.where(F.col("vec_id") % every == 0).distinct(), True).select("own", "v", F.explode("parts").alias("part"))
-    left = packed(asked, "binary").select("part", F.col("ids").alias("q"), F.col("vs").alias("qv"))
-    right = packed(indexed, "array<array<bigint>>")
-    pairs = left.join(right, "part").select("q", "qv", "ids", "vs")
-    found = pairs.mapInArrow(_rank(k), "query_id long, ids array<long>, score double")
-    found = found.select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        return df.join(many, "part").withColumn("block", F.pmod(F.xxhash64("v", "own"), F.col("blocks"))).drop("blocks")
+
+    def pack_queries(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = np.stack([np.asarray(p, np.int32) for p in pdf["parts"]])
+        return pd.DataFrame({"home": [key[0]], "block": [key[1]], "ids": [np.array(pdf["own"], np.int64).tobytes()], "vs": [b"".join(pdf["v"])], "parts": [parts.tobytes()], "wanted": [np.unique(parts).tolist()]})
+
+    def pack_vectors(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": [key[0]], "lists": [[list(map(int, o)) for o in pdf["own"]]], "vs": [b"".join(pdf["v"])]})
+
+    indexed = blocks(routed(ids, False).select("own", "v", F.element_at("parts", 1).alias("part")))
+    indexed = indexed.groupBy("part", "block").applyInPandas(pack_vectors, "part int, lists array<array<bigint>>, vs binary")
+    asked = routed(rows.where(F.col("vec_id") % every == 0).distinct(), True)
+    asked = blocks(asked.select("own", "v", F.element_at("parts", 1).alias("part"), "parts"))
+    asked = checkpointed(asked.groupBy("part", "block").applyInPandas(pack_queries, "home int, block long, ids binary, vs binary, parts binary, wanted array<int>"))
+    none = lambda kind: F.lit(None).cast(kind)
+    queries = asked.select("home", "block", F.lit(-1).alias("part"), "ids", none("array<array<bigint>>").alias("lists"), "vs", "parts")
+    met = asked.select("home", "block", F.explode("wanted").alias("part")).join(indexed, "part").select("home", "block", "part", none("binary").alias("ids"), "lists", "vs", none("binary").alias("parts"))
+    work = queries.union(met).repartition("home", "block").sortWithinPartitions("home", "block", "part")
+    return work.mapInArrow(_rank(k), "query_id long, rank int, vec_id long, score double")
