@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -20,18 +21,20 @@ from transitnet.llm.common import chunks, training_sample
 #: The training sample: documents at most, and characters of each at most.
 SAMPLE_DOCS, SAMPLE_CHARS = 4000, 12_000
 #: Rows and columns of the table of vectors, and the n-grams' lengths.
-BUCKETS, WIDTH, GRAMS = 1 << 17, 8, (3, 4, 5)
+BUCKETS, WIDTH, GRAMS = 1 << 19, 8, (3, 4, 5)
 #: Words whose vectors are averaged; the longest piece of a word that is hashed at once, and the step to the next.
 WINDOW, PIECE, STRIDE = 10, 24, 18
-#: Steps of the optimizer, and its rate.
-STEPS, RATE = 40, 0.1
+#: A bucket is learnt from if words of so many documents, or more, fall into it; others add nothing.
+LEAST_SEEN = 3
+#: Passes over the sample, documents of a step, and the optimizer's rate.
+EPOCHS, BATCH, RATE = 8, 300, 0.4
 
 _WORDS = re.compile(r"\w+(?:[^\w\s]\w+)*")
 
 
 def text_words(text: str | None) -> list[str]:
-    """Lower-case runs of word characters, with single marks inside them (w*rd)."""
-    return _WORDS.findall((text or "").lower())
+    """Lower-case runs of word characters, with single marks inside them (w*rd). A word repeated on end counts once."""
+    return [w for w, _ in groupby(_WORDS.findall((text or "").lower()))]
 
 
 def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +98,8 @@ class Model:
     def words(self, words: list[str]) -> np.ndarray:
         """The mean gain of each word's subwords: what its vector adds by the linear softmax."""
         found, owner = subwords(words)
-        return np.bincount(owner, self.gains[found], len(words)) / np.maximum(np.bincount(owner, minlength=len(words)), 1)
+        gain = self.gains[found]
+        return np.bincount(owner, gain, len(words)) / np.maximum(np.bincount(owner[gain != 0], minlength=len(words)), 1)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         known: dict[str, int] = {}
@@ -116,56 +120,67 @@ class Model:
 
 
 def fit(rows: list[tuple[str, int]]) -> Model:
-    """Adagrad on the log-likelihood of the documents' labels; the table of vectors and the softmax move together."""
+    """Adagrad on the log-likelihood of the documents' labels, by batches of documents; the table of vectors and the softmax move together."""
     known: dict[str, int] = {}
-    ids, counts = [], []
-    for text, _ in rows:
-        own = text_words(text)
-        ids += [known.setdefault(w, len(known)) for w in own]
-        counts.append(len(own))
-    counts, y = np.array(counts), np.array([int(label > 0) for _, label in rows])
-    use = counts > 0
-    start, doc = _windows(counts)
-    size = np.minimum(counts[doc], WINDOW)
-    ids = np.array(ids, np.int64)
-    # Equal windows of documents alike are one row with a weight; sub is a word's mean over its buckets.
-    sub, owner = subwords(list(known))
-    first = np.searchsorted(owner, np.arange(len(known)))
-    many = np.bincount(owner, minlength=len(known)).astype(np.float32)
-    slot = np.minimum(start[:, None] + np.arange(WINDOW), len(ids) - 1)
-    part = np.arange(WINDOW) < size[:, None]
-    word = ids[slot]
+    docs = [np.array([known.setdefault(w, len(known)) for w in text_words(text)], np.int32) for text, _ in rows]
+    y = np.array([int(label > 0) for _, label in rows])
+    use = np.array([len(d) > 0 for d in docs])
+    words, parts = list(known), []
+    for at in range(0, len(words), 50_000):
+        found, owner = subwords(words[at : at + 50_000])
+        parts.append((found.astype(np.int32), (owner + at).astype(np.int32)))
+    sub, owner = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (list(z) for z in zip(*parts, strict=True))) if parts else (np.zeros(0, np.int32),) * 2
+    spread = np.bincount(np.concatenate([np.unique(d) for d in docs]) if docs else np.zeros(0, np.int32), minlength=len(words))
+    seen = np.bincount(sub, spread[owner], BUCKETS)
+    sub, owner = sub[seen[sub] >= LEAST_SEEN], owner[seen[sub] >= LEAST_SEEN]
+    many = np.bincount(owner, minlength=len(words))
+    first = np.cumsum(many) - many
     rng = np.random.default_rng(7)
-    table = (rng.standard_normal((BUCKETS, WIDTH)) / 10).astype(np.float32)
+    table = (rng.standard_normal((BUCKETS, WIDTH)) / 100).astype(np.float32)
     soft = np.zeros((WIDTH, 2), np.float32)
     soft[:, 1] = 1.0 / np.sqrt(WIDTH)
     bias = np.array([2.0, -2.0], np.float32)
-    seen_table, seen_soft, seen_bias = np.full(BUCKETS, 1e-8, np.float32), np.full((WIDTH, 2), 1e-8), np.full(2, 1e-8)
+    seen_table, seen_soft, seen_bias = np.full(BUCKETS, 1e-10, np.float32), np.full((WIDTH, 2), 1e-8), np.full(2, 1e-8)
     weight = np.where(y == 1, 0.5 / max(1, (y & use).sum()), 0.5 / max(1, ((1 - y) & use).sum())) * use
-    for _ in range(STEPS):
-        vectors = np.add.reduceat(table[sub], first, axis=0) / many[:, None]
-        bags = np.einsum("wks,wk->ws", vectors[word], part.astype(np.float32)) / size[:, None]
-        logits = bags @ soft + bias
-        z = logits[:, 1] - logits[:, 0]
-        clean = np.bincount(doc, -np.logaddexp(0.0, z), len(y))
-        toxic = np.maximum(-np.expm1(clean), 1e-9)
-        # d log p / d z of each window: -sigma for a clean document, sigma * P(clean) / P(toxic) for a toxic one.
-        sigma = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
-        g = (sigma * np.where(y[doc] == 1, (np.exp(clean) / toxic)[doc], -1.0) * weight[doc]).astype(np.float32)
-        pull = np.stack([-g, g], axis=1)
-        d_soft, d_bias = bags.T @ pull, pull.sum(axis=0)
-        d_bag = (pull @ soft.T) / size[:, None]
-        flat = np.repeat(d_bag, part.sum(axis=1), axis=0)
-        d_word = np.stack([np.bincount(word[part], flat[:, c], len(known)) for c in range(WIDTH)], axis=1) / many[:, None]
-        d_sub = d_word.astype(np.float32)[owner]
-        d_table = np.stack([np.bincount(sub, d_sub[:, c], BUCKETS) for c in range(WIDTH)], axis=1).astype(np.float32)
-        seen_table += (d_table**2).mean(axis=1)
-        seen_soft += d_soft**2
-        seen_bias += d_bias**2
-        table += RATE * 5 * d_table / np.sqrt(seen_table)[:, None]
-        soft += (RATE * d_soft / np.sqrt(seen_soft)).astype(np.float32)
-        bias += (RATE * d_bias / np.sqrt(seen_bias)).astype(np.float32)
-    return Model((table @ (soft[:, 1] - soft[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
+    for _ in range(EPOCHS):
+        order = rng.permutation(np.flatnonzero(use))
+        for at in range(0, len(order), BATCH):
+            batch = order[at : at + BATCH]
+            counts = np.array([len(docs[k]) for k in batch])
+            own, ids = np.unique(np.concatenate([docs[k] for k in batch]), return_inverse=True)
+            n = many[own]
+            until = np.cumsum(n)
+            place = np.repeat(first[own] - until + n, n) + np.arange(until[-1])
+            b_sub, b_owner, size_w = sub[place], np.repeat(np.arange(len(own)), n), np.maximum(n, 1).astype(np.float32)
+            vectors = np.stack([np.bincount(b_owner, table[b_sub, c], len(own)) for c in range(WIDTH)], axis=1).astype(np.float32) / size_w[:, None]
+            start, doc = _windows(counts)
+            size = np.minimum(counts[doc], WINDOW)
+            slot = np.minimum(start[:, None] + np.arange(WINDOW), len(ids) - 1)
+            part = np.arange(WINDOW) < size[:, None]
+            word = ids[slot]
+            bags = np.einsum("wks,wk->ws", vectors[word], part.astype(np.float32)) / size[:, None]
+            logits = bags @ soft + bias
+            z = logits[:, 1] - logits[:, 0]
+            clean = np.bincount(doc, -np.logaddexp(0.0, z), len(batch))
+            toxic = np.maximum(-np.expm1(clean), 1e-9)
+            # d log p / d z of each window: -sigma for a clean document, sigma * P(clean) / P(toxic) for a toxic one.
+            sigma = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+            g = (sigma * np.where(y[batch][doc] == 1, (np.exp(clean) / toxic)[doc], -1.0) * weight[batch][doc]).astype(np.float32)
+            pull = np.stack([-g, g], axis=1)
+            d_soft, d_bias = bags.T @ pull, pull.sum(axis=0)
+            flat = np.repeat((pull @ soft.T) / size[:, None], size, axis=0)
+            inside = word[part]
+            d_word = np.stack([np.bincount(inside, flat[:, c], len(own)) for c in range(WIDTH)], axis=1) / size_w[:, None]
+            hit, b_sub = np.unique(b_sub, return_inverse=True)
+            d_hit = np.stack([np.bincount(b_sub, d_word[b_owner, c], len(hit)) for c in range(WIDTH)], axis=1).astype(np.float32)
+            seen_table[hit] += (d_hit**2).mean(axis=1)
+            seen_soft += d_soft**2
+            seen_bias += d_bias**2
+            table[hit] += RATE * d_hit / np.sqrt(seen_table[hit])[:, None]
+            soft += (RATE * d_soft / np.sqrt(seen_soft)).astype(np.float32)
+            bias += (RATE * d_bias / np.sqrt(seen_bias)).astype(np.float32)
+    gains = np.where(seen >= LEAST_SEEN, table @ (soft[:, 1] - soft[:, 0]), 0)
+    return Model(gains.astype(np.float32), float(bias[1] - bias[0]))
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic") -> Model:
