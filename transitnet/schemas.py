@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 _POLY = "lon_e6 array<int>, lat_e6 array<int>"
 _BOX = "min_lon_e6 int, min_lat_e6 int, max_lon_e6 int, max_lat_e6 int"
 
+_TYPES = {
+    "string": StringType(), "long": LongType(), "int": IntegerType(), "double": DoubleType(), "boolean": BooleanType(),
+    "timestamp_ntz": TimestampNTZType(), "array<int>": ArrayType(IntegerType()), "array<long>": ArrayType(LongType()),
+}
+
+
+def _struct(columns: str) -> StructType:
+    """Columns as "name type", which unlike Spark's own parser needs no session."""
+    return StructType([StructField(n, _TYPES[t]) for n, t in (c.split() for c in columns.split(","))])
+
+
 TABLES: dict[str, StructType] = {
-    name: StructType.fromDDL(ddl)
+    name: _struct(ddl)
     for name, ddl in {
         "stops": "stop_id string, name string, lat double, lon double",
         "routes": "route_id string, agency_id string, short_name string, long_name string, route_type string",
