@@ -109,8 +109,11 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", text.alias("_t"))
     base = [_spans(F.col("_t"), p, g, n) for _, p, g, n in KINDS]
     rows = rows.select("doc_id", "_t", *(b.alias(f"_{k}") for b, (k, *_) in zip(base, KINDS, strict=True)))
-    tagged = [F.transform(f"_{k}", lambda x, j=j: F.struct(x["start"].alias("start"), F.lit(j).alias("kind"), x["end"].alias("end"))) for j, (k, *_) in enumerate(KINDS)]
-    rows = rows.select("doc_id", "_t", F.concat(*tagged).alias("_base"), _spans(F.col("_t"), f"({CANDIDATE})", 1, WINDOW).alias("_cand"))
+
+    def tagged(number: int, kind: str) -> Column:
+        return F.transform(f"_{kind}", lambda x: F.struct(x["start"].alias("start"), F.lit(number).alias("kind"), x["end"].alias("end")))
+
+    rows = rows.select("doc_id", "_t", F.concat(*(tagged(j, k) for j, (k, *_) in enumerate(KINDS))).alias("_base"), _spans(F.col("_t"), f"({CANDIDATE})", 1, WINDOW).alias("_cand"))
 
     def inside(c: Column) -> Column:
         s = F.substring(F.col("_t"), c["start"] + 1, c["end"] - c["start"])
