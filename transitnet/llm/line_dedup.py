@@ -182,7 +182,8 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, bit
     else:
         sent = docs.sparkSession.sparkContext.broadcast(filters[1])
         suspects = checkpointed(rows.mapInArrow(_suspects(sent, bits, least_chars), "h1 long, h2 long, doc_id long"))
-    counted = suspects.distinct().groupBy("h1", "h2").agg(F.count("*").alias("k"), F.max("doc_id").alias("keeper")).where(F.col("k") >= least_docs)
+    # Checkpointed, the counts are dealt out anew for the join, which adaptive execution can then split at a hot line.
+    counted = checkpointed(suspects.distinct().groupBy("h1", "h2").agg(F.count("*").alias("k"), F.max("doc_id").alias("keeper")).where(F.col("k") >= least_docs))
     drops = (
         suspects.join(counted, ["h1", "h2"])
         .where("doc_id <> keeper")
