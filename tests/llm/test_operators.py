@@ -60,7 +60,7 @@ def test_jaccard_on_documents(docs, texts):
     assert components_of(ngram_join.jaccard_components(docs)) == brute.jaccard_components(texts)
 
 
-@pytest.mark.parametrize("bounds", [{}, {"UNIT_DOCS": 8, "PIVOTS": 3}, {"UNIT_DOCS": 5, "UNIT_TOKENS": 300, "PIVOTS": 2, "BROADCAST": 0}])
+@pytest.mark.parametrize("bounds", [{}, {"UNIT_DOCS": 50}, {"UNIT_DOCS": 8, "PIVOTS": 3}, {"UNIT_DOCS": 5, "UNIT_TOKENS": 300, "PIVOTS": 2, "BROADCAST": 0}])
 def test_jaccard_families_and_chunks(spark, monkeypatch, bounds):
     for name, value in bounds.items():
         monkeypatch.setattr(ngram_join, name, value)
@@ -82,7 +82,7 @@ def test_trie_finds_all_links():
     sets = [s for s in sets if len(s)]
     order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
     seqs = [sets[i] for i in order]
-    got = {(order[i], order[j]) for i, j in ngram_join.Trie(seqs).links(seqs, 90, 100)}
+    got = {(order[i], order[j]) for i, j in ngram_join.Trie(seqs, np.array(list(map(len, seqs)))).links(90, 100)}
     expected = {(i, j) for i in range(len(sets)) for j in range(len(sets)) if i != j and 100 * len(np.intersect1d(sets[i], sets[j])) >= 90 * len(np.union1d(sets[i], sets[j]))}
     assert {frozenset(p) for p in got} == {frozenset(p) for p in expected}
 

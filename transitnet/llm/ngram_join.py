@@ -3,7 +3,7 @@
 The sets are ordered globally. Two sets that link share at least l of the first tokens of either
 (n - required overlap + l of them), so a document whose first tokens are mostly held by it alone can link with
 nothing and leaves early. What is left is gathered into small candidate families, and each family's sets, ordered
-from its most to its least frequent token, go into a trie; every set is then run against the trie, sharing
+from its rarest to its most frequent token, go into a trie; every set is then run against the trie, sharing
 partial overlaps between sets with equal beginnings and leaving subtrees whose remaining lengths can't reach
 the overlap needed.
 
@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 
 from transitnet.llm.common import checkpointed, chunks, components
 
-#: Most documents, and most tokens in all their sets, that one trie holds.
-UNIT_DOCS, UNIT_TOKENS = 256, 2_000_000
+#: Most documents, and most tokens in all their sets, that one trie holds; tokens of one piece of an edge.
+UNIT_DOCS, UNIT_TOKENS, PIECE = 8192, 2_000_000, 16
 #: About so many documents of an over-large token group are compared with all the group first.
 PIVOTS = 64
 #: Candidates whose ids are broadcast to pick their texts; more of them are joined by a shuffle of the texts.
 BROADCAST = 500_000
+#: Of how many tokens one must be shared among the first tokens, besides the one that any prefix filter asks for.
+SHARE = 10
 #: Bytes of text that are hashed at once.
 SEGMENT = 1 << 20
 
@@ -116,7 +118,7 @@ def _least_overlap(n, num: int, den: int):
 
 def _share(n):
     """How many first tokens must be shared besides the one that any prefix filter asks for."""
-    return n // 20 + 1
+    return n // SHARE + 1
 
 
 def _features(words: int, num: int, den: int):
@@ -162,12 +164,21 @@ def _sets(words: int):
 
 
 class Trie:
-    """A path-compressed trie of sets of ranks, its nodes numbered by level."""
+    """A path-compressed trie of ordered token ranks, its nodes numbered by level; long edges are cut into pieces."""
 
-    def __init__(self, seqs: list[np.ndarray]):
-        """seqs: ascending ranks, in lexicographic order, none empty."""
+    def __init__(self, seqs: list[np.ndarray], sizes: np.ndarray):
+        """seqs: ascending ranks, in lexicographic order, none empty; sizes: how many tokens each whole set has."""
         ends, refs, parent, begin, final = [0], [0], [-1], [0], [[]]
         stack, before = [0], np.zeros(0, np.int64)
+
+        def add(up: int, start: int, end: int, ref: int) -> int:
+            parent.append(up)
+            begin.append(start)
+            ends.append(end)
+            refs.append(ref)
+            final.append([])
+            return len(ends) - 1
+
         for i, s in enumerate(seqs):
             m = min(len(before), len(s))
             differ = np.flatnonzero(before[:m] != s[:m])
@@ -175,104 +186,123 @@ class Trie:
             while ends[stack[-1]] > common:
                 popped = stack.pop()
             if ends[stack[-1]] < common:  # the way down ends inside an edge: split it
-                parent.append(stack[-1])
-                begin.append(begin[popped])
-                ends.append(common)
-                refs.append(refs[popped])
-                final.append([])
-                parent[popped], begin[popped] = len(ends) - 1, common
-                stack.append(len(ends) - 1)
-            if len(s) > common:
-                parent.append(stack[-1])
-                begin.append(common)
-                ends.append(len(s))
-                refs.append(i)
-                final.append([])
-                stack.append(len(ends) - 1)
+                node = add(stack[-1], begin[popped], common, refs[popped])
+                parent[popped], begin[popped] = node, common
+                stack.append(node)
+            while common < len(s):
+                stack.append(add(stack[-1], common, end := min(len(s), common + PIECE), i))
+                common = end
             final[stack[-1]].append(i)
             before = s
         kids: list[list[int]] = [[] for _ in ends]
         for v in range(1, len(ends)):
             kids[parent[v]].append(v)
-        order, self.child = [0], []
+        order, child = [0], []
         for v in order:
-            self.child.append((len(order), len(kids[v])))
+            child.append((len(order), len(kids[v])))
             order += kids[v]
-        size = np.array([len(s) for s in seqs])
         count = len(order)
-        self.least, self.most, self.last_doc = np.full(count, 1 << 60), np.zeros(count, np.int64), np.full(count, -1)
-        back = {v: k for k, v in enumerate(order)}
-        self.final = [final[v] for v in order]
-        for k in range(count - 1, -1, -1):
-            if own := self.final[k]:
-                self.least[k], self.most[k], self.last_doc[k] = min(self.least[k], size[own].min()), max(self.most[k], size[own].max()), max(self.last_doc[k], own[-1])
-            if k:
-                p = back[parent[order[k]]]
-                self.least[p], self.most[p], self.last_doc[p] = min(self.least[p], self.least[k]), max(self.most[p], self.most[k]), max(self.last_doc[p], self.last_doc[k])
-        self.child = np.array(self.child)
-        self.depth = np.array([ends[v] for v in order])
+        place = {v: k for k, v in enumerate(order)}
+        self.child, self.final = np.array(child), [final[v] for v in order]
+        self.finals = np.array([len(x) for x in self.final])
+        #: Of the sets below a node: the least and largest size, the most tokens still to come, and the last number.
+        self.least, self.most, self.rest, self.last = np.full(count, 1 << 60), np.zeros(count, np.int64), np.zeros(count, np.int64), np.full(count, -1)
+        top = np.zeros(count, np.int64)
+        for k in range(1, count):
+            up = place[parent[order[k]]]
+            top[k] = top[up] if up else k
+        for k in range(count - 1, 0, -1):
+            for i in self.final[k]:
+                self.least[k], self.most[k], self.last[k] = min(self.least[k], sizes[i]), max(self.most[k], sizes[i]), max(self.last[k], i)
+            up = place[parent[order[k]]]
+            if up:
+                self.least[up], self.most[up], self.last[up] = min(self.least[up], self.least[k]), max(self.most[up], self.most[k]), max(self.last[up], self.last[k])
+                self.rest[up] = max(self.rest[up], self.rest[k] + ends[order[k]] - begin[order[k]])
         edges = [seqs[refs[v]][begin[v] : ends[v]] for v in order[1:]]
         self.length = np.array([0, *map(len, edges)])
         self.start = np.concatenate([[0], np.cumsum(self.length)[:-1]])
         self.tokens = np.concatenate(edges)
-        self.finals = np.array([len(x) for x in self.final])
+        self.top = np.zeros(len(seqs), np.int64)
+        for k, own in enumerate(self.final):
+            self.top[own] = top[k]
+        self.seqs, self.sizes = seqs, sizes
 
-    def links(self, seqs: list[np.ndarray], num: int, den: int) -> Iterator[tuple[int, int]]:
-        """Pairs (i, j), i < j, of sets whose intersection is num/den of their union or more."""
+    def links(self, num: int, den: int) -> Iterator[tuple[int, int]]:
+        """Pairs (i, j), i < j, of sets whose intersection is num/den of their union or more.
+
+        A set enters the subtrees that hold a set with which it shares one of the first tokens of both.
+        """
         ranks = int(self.tokens.max()) + 1
-        sizes = np.array([len(s) for s in seqs])
-        at = 0
-        while at < len(seqs):
-            upto = min(len(seqs), at + max(1, min(64, 4_000_000 // ranks)))
-            yield from self._probe(seqs[at:upto], sizes, at, ranks, num, den)
-            at = upto
-
-    def _probe(self, probes: list[np.ndarray], sizes: np.ndarray, first: int, ranks: int, num: int, den: int) -> Iterator[tuple[int, int]]:
+        fewest = -(-self.sizes * num // den)
+        heads = [s[: max(0, len(s) - f + 1)] for s, f in zip(self.seqs, fewest.tolist(), strict=True)]
+        token, owner = np.concatenate(heads), np.repeat(self.top, [len(h) for h in heads])
+        pairs = np.unique(np.stack([token, owner], axis=1), axis=0) if len(token) else np.zeros((0, 2), np.int64)
+        cuts = np.searchsorted(pairs[:, 0], np.arange(ranks + 1))
+        step = max(1, min(64, 4_000_000 // ranks))
+        for at in range(0, len(self.seqs), step):
+            entries = []
+            for k, h in enumerate(heads[at : at + step]):
+                nodes = np.unique(np.concatenate([pairs[cuts[t] : cuts[t + 1], 1] for t in h])) if len(h) else np.zeros(0, np.int64)
+                entries.append((np.full(len(nodes), k), nodes))
+            probe, node = (np.concatenate(x) for x in zip(*entries, strict=True))
+            yield from self._descend(at, min(len(self.seqs), at + step), probe, node, fewest, ranks, num, den)
+
+    def _descend(self, first: int, end: int, probe: np.ndarray, node: np.ndarray, every: np.ndarray, ranks: int, num: int, den: int) -> Iterator[tuple[int, int]]:
+        probes = self.seqs[first:end]
         holds = np.zeros((len(probes), ranks), bool)
         for k, s in enumerate(probes):
             holds[k, s] = True
         keys = np.concatenate([k * ranks + s for k, s in enumerate(probes)])
-        offset = np.concatenate([[0], np.cumsum([len(s) for s in probes])])
-        n = np.diff(offset)
-        fewest = -(-n * num // den)
-        probe, node, overlap = np.arange(len(probes)), np.zeros(len(probes), np.int64), np.zeros(len(probes), np.int64)
+        length = np.array([len(s) for s in probes])
+        offset = np.cumsum(length) - length
+        n, fewest = self.sizes[first:end], every[first:end]
+        overlap = np.zeros(len(probe), np.int64)
         while len(probe):
-            begin, count = self.child[node, 0], self.child[node, 1]
-            back = np.repeat(np.arange(len(probe)), count)
-            node = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(len(back))
-            probe, overlap = probe[back], overlap[back]
-            fits = (self.last_doc[node] > probe + first) & (self.most[node] >= fewest[probe]) & (self.least[node] * num <= n[probe] * den)
+            fits = (self.last[node] > probe + first) & (self.most[node] >= fewest[probe]) & (self.least[node] * num <= n[probe] * den)
             probe, node, overlap = probe[fits], node[fits], overlap[fits]
             if not len(probe):
                 return
             kept: list[tuple] = []
             cuts = np.flatnonzero(np.diff(np.cumsum(self.length[node]) // 4_000_000)) + 1
             for p, v, o in zip(np.split(probe, cuts), np.split(node, cuts), np.split(overlap, cuts), strict=True):
-                length = self.length[v]
-                until = np.cumsum(length)
-                token = self.tokens[np.repeat(self.start[v] - until + length, length) + np.arange(until[-1])]
-                o = o + np.add.reduceat(holds[np.repeat(p, length), token].astype(np.int64), until - length)
-                left = n[p] - (np.searchsorted(keys, p * ranks + token[until - 1], "right") - offset[p])
+                size = self.length[v]
+                until = np.cumsum(size)
+                token = self.tokens[np.repeat(self.start[v] - until + size, size) + np.arange(until[-1])]
+                o = o + np.add.reduceat(holds[np.repeat(p, size), token].astype(np.int64), until - size)
+                left = length[p] - (np.searchsorted(keys, p * ranks + token[until - 1], "right") - offset[p])
                 need = -(-num * (n[p] + np.maximum(self.least[v], fewest[p])) // (num + den))
-                fits = o + np.minimum(left, self.most[v] - self.depth[v]) >= need
+                fits = o + np.minimum(left, self.rest[v]) >= need
                 kept.append((p[fits], v[fits], o[fits]))
             probe, node, overlap = (np.concatenate(x) for x in zip(*kept, strict=True))
             for k in np.flatnonzero(self.finals[node]):
                 i, both = int(probe[k]), int(overlap[k])
                 for j in self.final[node[k]]:
-                    if j > i + first and den * both >= num * (int(n[i]) + int(sizes[j]) - both):
+                    if j > i + first and den * both >= num * (int(n[i]) + int(self.sizes[j]) - both):
                         yield i + first, j
+            begin, count = self.child[node, 0], self.child[node, 1]
+            back = np.repeat(np.arange(len(probe)), count)
+            node = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(len(back))
+            probe, overlap = probe[back], overlap[back]
 
 
 def unit_links(ids: list[int], sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among these sets."""
-    pool = np.concatenate(sets)
-    tokens, inverse, counts = np.unique(pool, return_inverse=True, return_counts=True)
-    rank = np.empty(len(tokens), np.int64)
-    rank[np.argsort(-counts, kind="stable")] = np.arange(len(tokens))
-    seqs = [np.sort(x) for x in np.split(rank[inverse], np.cumsum([len(s) for s in sets])[:-1])]
-    order = sorted(range(len(seqs)), key=lambda i: seqs[i].astype(">u4").tobytes())
-    seqs, ids = [seqs[i] for i in order], [ids[i] for i in order]
+    """A spanning forest of the links among these sets.
+
+    Tokens are ordered from the rarest here to the most frequent. Those of one set only are left out of the trie, for they are in no overlap;
+    a set that has not enough others links with nothing.
+    """
+    sizes = np.array([len(s) for s in sets])
+    tokens, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.full(len(tokens), -1, np.int64)
+    order = np.argsort(counts, kind="stable")
+    order = order[counts[order] > 1]
+    rank[order] = np.arange(len(order))
+    seqs = [np.sort(x[x >= 0]) for x in np.split(rank[inverse], np.cumsum(sizes)[:-1])]
+    some = [i for i in range(len(seqs)) if len(seqs[i]) * den >= num * sizes[i]]
+    if len(some) < 2:
+        return []
+    some.sort(key=lambda i: seqs[i].astype(">u4").tobytes())
+    seqs, sizes, ids = [seqs[i] for i in some], sizes[some], [ids[i] for i in some]
     root = list(range(len(ids)))
 
     def find(x: int) -> int:
@@ -282,7 +312,7 @@ def unit_links(ids: list[int], sets: list[np.ndarray], num: int, den: int) -> li
         return x
 
     out = []
-    for i, j in Trie(seqs).links(seqs, num, den):
+    for i, j in Trie(seqs, sizes).links(num, den):
         if (a := find(i)) != (b := find(j)):
             root[a] = b
             if ids[i] != ids[j]:
@@ -331,7 +361,8 @@ def _families(posts: DataFrame, least: Column) -> tuple[DataFrame, DataFrame, Da
     two that link share one of them. Returns what is kept (rep, n, token), the tokens' groups of two or more, and the
     members (component, rep, n, k, weight) of the families that the groups make up, with their families' documents and tokens.
     """
-    shared = posts.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
+    # Checkpointed, the counts are dealt out anew for the join, which adaptive execution can then split at a hot token.
+    shared = checkpointed(posts.groupBy("token").agg(F.count("*").alias("c")).where("c > 1"))
     held = (
         posts.join(shared, "token")
         .groupBy("rep", "n")
@@ -372,7 +403,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     least = F.ceil(F.col("n") * num / den)
     first = some.where(F.size("first") > 0).join(reps.select("d1", "d2", F.col("rep").alias("doc_id")), ["doc_id", "d1", "d2"], "left_semi")
     first = first.select(F.col("doc_id").alias("rep"), "n", F.explode("first").alias("token"))
-    _, _, members = _families(first, F.floor(least / 20) + 1)
+    _, _, members = _families(first, F.floor(least / SHARE) + 1)
     small = (F.col("k") <= UNIT_DOCS) & (F.col("weight") <= 2 * UNIT_TOKENS)
     unit = F.when(small, F.xxhash64(F.lit("family"), "component"))
     members = members.select(F.col("rep").alias("doc_id"), unit.alias("unit"))
