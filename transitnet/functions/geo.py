@@ -107,3 +107,40 @@ def pad_and_clip(box: tuple[float, float, float, float], pad: float) -> tuple[fl
     b = ISLES
     west, south, east, north = box[0] - pad, box[1] - pad, box[2] + pad, box[3] + pad
     return max(west, b["lon_min"]), max(south, b["lat_min"]), min(east, b["lon_cap"]), min(north, b["lat_max"])
+
+
+def extent(df, lat: str = "lat", lon: str = "lon", pad: float = 0.0) -> tuple[float, float, float, float] | None:
+    """The window of all points inside the British Isles, padded and clipped; None without points. One aggregate."""
+    row = df.where(in_isles(F.col(lat), F.col(lon))).agg(F.min(lon), F.min(lat), F.max(lon), F.max(lat)).first()
+    return None if row[0] is None else pad_and_clip(tuple(row), pad)
+
+
+def wkt_to_e6(wkt: Column) -> Column:
+    """struct<lon_e6, lat_e6> of a LINESTRING text, as older stores held geometry."""
+    inside = F.regexp_extract(wkt, r"(?i)^\s*LINESTRING\s*\(([^()]*)\)\s*$", 1)
+    points = F.transform(F.split(F.trim(inside), r"\s*,\s*"), lambda p: F.split(F.trim(p), r"\s+"))
+    e6 = lambda k: F.when(F.length(inside) > 0, F.transform(points, lambda p: F.bround(F.get(p, k).cast("double") * 1_000_000).cast("int")))
+    return F.struct(e6(0).alias("lon_e6"), e6(1).alias("lat_e6"))
+
+
+def points_to_e6(points: Column) -> Column:
+    """struct<lon_e6, lat_e6> of array<struct<lon_e6, lat_e6>>, as other older stores held it."""
+    return F.struct(F.transform(points, lambda p: p["lon_e6"]).alias("lon_e6"), F.transform(points, lambda p: p["lat_e6"]).alias("lat_e6"))
+
+
+def fit(box: tuple[float, float, float, float], width: int, height: int, margin: float = 0.0) -> tuple[float, float, float]:
+    """(scale, x0, y0) that put a window's Web-Mercator square into a canvas, letterboxed: pixel = (mercator - origin) * scale."""
+    y = lambda lat: (1 - math.log(math.tan(math.pi / 4 + math.radians(lat) / 2)) / math.pi) / 2
+    x0, x1, y0, y1 = (box[0] + 180) / 360, (box[2] + 180) / 360, y(box[3]), y(box[1])
+    scale = min((width - 2 * margin) / (x1 - x0), (height - 2 * margin) / (y1 - y0))
+    return scale, (x0 + x1) / 2 - width / 2 / scale, (y0 + y1) / 2 - height / 2 / scale
+
+
+def packed(x: Column, y: Column) -> Column:
+    """Two whole numbers of 32 bits in one, to be used as a key."""
+    return F.shiftleft(x.cast("long"), 32).bitwiseOR(y.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+
+
+def unpacked(key: Column) -> tuple[Column, Column]:
+    low = key.bitwiseAND(F.lit(0xFFFFFFFF))
+    return F.shiftright(key, 32), F.when(low >= 1 << 31, low - (1 << 32)).otherwise(low)

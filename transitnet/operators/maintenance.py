@@ -39,3 +39,30 @@ def refuse_collapse(before: int, now: int, floor: float = 0.5) -> None:
     """A refresh that loses more than half of what there was is an outage, not a change."""
     if before and now < before * floor:
         raise ValueError(f"{now} rows where there were {before}: refused")
+
+
+def scanned(df: DataFrame) -> dict[str, int]:
+    """Rows and files that the scans of a DataFrame read when it runs: whether a layout lets a query prune."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    out = {"rows": 0, "files": 0}
+
+    def walk(node) -> None:
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            walk(node.executedPlan())
+            return
+        if hasattr(node, "plan") and name.startswith(("ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage")):
+            walk(node.plan())
+            return
+        if name.startswith("Scan"):
+            metrics = node.metrics()
+            for key, metric in (("rows", "numOutputRows"), ("files", "numFiles")):
+                if metrics.contains(metric):
+                    out[key] += metrics.apply(metric).value()
+        children = node.children()
+        for k in range(children.size()):
+            walk(children.apply(k))
+
+    walk(plan)
+    return out

@@ -8,7 +8,8 @@ from dataclasses import astuple, dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from transitnet.functions.geo import overlaps
+from transitnet.functions.arrays import kept_vertices
+from transitnet.functions.geo import fit, mercator, overlaps, touches
 from transitnet.functions.ids import sampled
 from transitnet.functions.scale import scaled
 from transitnet.operators.graph import checkpointed
@@ -128,6 +129,22 @@ class Network:
         ends = order_statistics(stats, "trips", {"lo": low, "hi": high})
         return stats.join(F.broadcast(ends)).select("grp", scaled(F.col("trips"), F.col("lo"), F.col("hi")).alias("weight"))
 
+    def paths(self, spec: QuerySpec, size: tuple[int, int], tolerance: int = 0) -> DataFrame:
+        """(edge_id, weight, xs, ys): each edge with a part in the window as pixels of a canvas, weights scaled between the window's bounds.
+
+        Vertices nearer than the tolerance (micro-degrees) to the one before are left out first, where one is given.
+        """
+        if self.box is None:
+            raise ValueError("paths need a window")
+        rows = self.window(spec).where(touches(self.box)).join(self.weights(spec, True), "edge_id").join(F.broadcast(self.bounds(spec)))  # one row
+        if tolerance:
+            rows = rows.withColumn("_k", kept_vertices("lon_e6", "lat_e6", F.lit(tolerance)))
+            rows = rows.withColumn("lon_e6", F.transform("_k", lambda k: F.get("lon_e6", k))).withColumn("lat_e6", F.transform("_k", lambda k: F.get("lat_e6", k)))
+        scale, x0, y0 = fit(tuple(v / 1e6 for v in self.box), *size)
+        xs = F.transform("lon_e6", lambda v: (mercator(F.lit(0.0), v / 1e6)[0] - x0) * scale)
+        ys = F.transform("lat_e6", lambda v: (mercator(v / 1e6, F.lit(0.0))[1] - y0) * scale)
+        return rows.select("edge_id", scaled(F.col("weight"), F.col("lo"), F.col("hi")).alias("weight"), xs.alias("xs"), ys.alias("ys"))
+
     def facet(self, column: str, most: int = 500) -> DataFrame:
         """A column's distinct values, sorted; at most so many, as a menu shows."""
         source = self.services if column in self.services.columns else self.edges

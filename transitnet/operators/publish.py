@@ -59,6 +59,22 @@ def credits(layers: dict[str, bool], owners: dict[str, str]) -> list[str]:
     return list(dict.fromkeys(text for name, text in owners.items() if layers.get(name)))
 
 
+#: Bands of zooms, each with the sources that it draws and the least trips of a line in it: what a tile builder needs to know.
+BANDS = (("far", 5, 7, 200), ("middle", 8, 10, 20), ("near", 11, 12, 1), ("detail", 13, 14, 0))
+
+
+def banded(lines: DataFrame) -> DataFrame:
+    """Lines once for each band that draws them, with the band's zooms; to be written with partitionBy("band")."""
+    bands = F.array(*(F.struct(F.lit(n).alias("band"), F.lit(a).alias("min_zoom"), F.lit(b).alias("max_zoom"), F.lit(t).alias("least")) for n, a, b, t in BANDS))
+    rows = lines.withColumn("_b", F.explode(bands)).where(F.coalesce("trips", F.lit(0)) >= F.col("_b.least"))
+    return rows.select(*lines.columns, "_b.band", "_b.min_zoom", "_b.max_zoom")
+
+
+def status(funnel: DataFrame) -> str:
+    """The one row of a funnel as JSON."""
+    return funnel.select(F.to_json(F.struct("*"))).first()[0]
+
+
 def write_lines(features: DataFrame, path: str) -> None:
     """One text file of a feature a line. Order across files is lost, so the last step is one ordered task; overview data fits it."""
     features.coalesce(1).write.mode("overwrite").text(path)

@@ -103,3 +103,8 @@ def weekly_sequences(schedules: DataFrame) -> DataFrame:
 
 def tiplocs_used(schedules: DataFrame) -> DataFrame:
     return schedules.select(F.explode(calling_points(F.col("calls"))).alias("tiploc")).distinct()
+
+
+def records(rows: DataFrame) -> DataFrame:
+    """(kind, n): how many records of each type there are, to look into an extract."""
+    return rows.groupBy(F.substring("line", 1, 2).alias("kind")).agg(F.count("*").alias("n"))

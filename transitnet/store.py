@@ -52,6 +52,9 @@ class Store:
                 writer = writer.partitionBy(*keys)
             writer.parquet(f"{self.root}/{version}")
             manifest[table] = version
+        self._put(manifest)
+
+    def _put(self, manifest: dict[str, str]) -> None:
         text = json.dumps(manifest, sort_keys=True)
         fresh, at = self._path(f"{self.root}/manifest.{uuid.uuid4().hex[:8]}"), self._path(f"{self.root}/manifest.json")
         out = self._fs.create(fresh, True)
@@ -67,6 +70,17 @@ class Store:
             raise ValueError(f"conflict={conflict!r}; known: None, 'ignore', 'replace'")
         self.commit({table: upsert(self.read(table), conform(rows, table), keys, conflict)})
 
+    def rewrite(self, table: str, how) -> None:
+        """Replace a table by ``how`` of itself, such as another order of rows; refused unless as many rows come out."""
+        before = self.read(table)
+        after = how(before)
+        kept = self._manifest().get(table)
+        self.commit({table: after})
+        if (a := self.read(table).count()) != (b := before.count()):
+            manifest = self._manifest() | {table: kept}
+            self._put(manifest)
+            raise ValueError(f"{table}: {a} rows where there were {b}; the old version is in force again")
+
     def meta(self, key: str) -> str | None:
         row = self.read("meta").where(F.col("key") == key).first()
         return row and row["value"]
