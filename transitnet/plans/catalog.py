@@ -660,6 +660,177 @@ def events_session(spark, d):
     return out.select("user_id", F.unix_micros("first").alias("start_us"), "n")
 
 
+# -- stores, joins and readers -----------------------------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey AS trip_id, coalesce(CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE CAST(c_custkey % 7 AS INTEGER) END, 5) AS days, CASE WHEN n_nationkey = 2 THEN 'rail' WHEN n_nationkey IN (3, 11) THEN 'bus' ELSE NULL END AS mode FROM orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN (SELECT n_nationkey, c_custkey AS k FROM customer JOIN nation ON n_nationkey = c_nationkey) n ON n.k = o_custkey")
+def trips_with_defaults(spark, d):
+    c = _t(spark, d, "customer")
+    trips = _t(spark, d, "orders").select(F.col("o_orderkey").alias("trip_id"), F.col("o_custkey").alias("service_id"), F.col("o_custkey").alias("route_id"))
+    calendar = c.where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("service_id"), (F.col("c_custkey") % 7).cast("int").alias("days"))
+    routes = c.select(F.col("c_custkey").alias("route_id"), F.col("c_nationkey").cast("string").alias("route_type"))
+    out = patterns.trip_rows(trips, calendar, routes)
+    return out.select("trip_id", "days", F.when(F.col("mode").isin("rail", "bus"), F.col("mode")).alias("mode"))
+
+
+@query(
+    "WITH p AS (SELECT user_id, list({'t': epoch_us(ts), 'e': event_id, 'v': CAST(round_even(value * 1000000, 0) AS BIGINT)} ORDER BY epoch_us(ts), event_id) AS l FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_nationkey < 12) GROUP BY 1) "
+    "SELECT user_id AS shape_id, CAST(len(l) AS INTEGER) AS points, CAST(l[1].v AS BIGINT) AS first_e6, CAST(l[-1].v AS BIGINT) AS last_e6 FROM p"
+)
+def shape_lists(spark, d):
+    e = _t(spark, d, "events").select(F.col("user_id").alias("shape_id"), (F.col("value") * 0).alias("lat"), F.col("value").alias("lon"), F.struct(F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), "event_id").alias("seq"))
+    used = _t(spark, d, "customer").where("c_nationkey < 12").select(F.col("c_custkey").alias("shape_id"))
+    out = patterns.shapes_of(e, used)
+    return out.select("shape_id", F.size("lon_e6").alias("points"), F.get("lon_e6", 0).cast("long").alias("first_e6"), F.element_at("lon_e6", -1).cast("long").alias("last_e6"))
+
+
+@query("SELECT p_partkey AS shape_id FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity < 10) IS FALSE")
+def pruned_shapes(spark, d):
+    from transitnet.operators import maintenance
+
+    shapes = _t(spark, d, "part").select(F.col("p_partkey").alias("shape_id"))
+    used = _t(spark, d, "lineitem").select(F.when(F.col("l_quantity") < 10, F.col("l_partkey")).alias("shape_id"))
+    return maintenance.unreferenced_shapes(shapes, used, 0)
+
+
+@query("SELECT s_suppkey AS way_id FROM supplier WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_orderkey % 50 = 1)")
+def pruned_ways(spark, d):
+    from transitnet.operators import maintenance
+
+    traces = _t(spark, d, "lineitem").where("l_orderkey % 50 = 1").groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("way_ids"))
+    return maintenance.referenced_ways(_t(spark, d, "supplier").select(F.col("s_suppkey").alias("way_id")), traces)
+
+
+@query(
+    "WITH p AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS sh, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey % 5 = 1 END AS cut, o_orderkey % 7 < 5 AS traced FROM orders) "
+    "SELECT id AS pattern_id, CASE WHEN sh IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) THEN 'shape' ELSE 'trace' END AS arm FROM p WHERE NOT (traced AND coalesce(cut, false)) AND (sh IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) OR traced)"
+)
+def segment_arms(spark, d):
+    k = F.col("o_orderkey")
+    p = _t(spark, d, "orders").select(k.alias("pattern_id"), F.lit("rail").alias("mode"), F.when(k % 3 == 0, F.col("o_custkey").cast("string")).alias("shape_id"))
+    line = {c: F.array(F.lit(v), F.lit(v + 1)) for c, v in (("lon_e6", 1), ("lat_e6", 5))}
+    shapes = _t(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("shape_id")).withColumns(line)
+    traces = _t(spark, d, "orders").where(k % 7 < 5).select(k.alias("pattern_id"), F.when(k % 5 != 0, k % 5 == 1).alias("ways_cut")).withColumns({c: F.transform(v, lambda x: x + 100) for c, v in line.items()})
+    return aggregate.segments(p, shapes, traces, F.lit(True)).select("pattern_id", F.when(F.col("min_lon_e6") < 100, "shape").otherwise("trace").alias("arm"))
+
+
+@query("SELECT p_partkey AS pattern_id FROM part WHERE p_partkey % 3 = 0 AND p_size % 2 = 0 AND p_partkey % 5 <> 0")
+def gained_shapes(spark, d):
+    k = F.col("p_partkey")
+    before = _t(spark, d, "part").where(k % 3 == 0).select(k.alias("pattern_id"), F.lit(None).cast("string").alias("shape_id"))
+    now = _t(spark, d, "part").select(k.alias("pattern_id"), F.when(F.col("p_size") % 2 == 0, "S").alias("shape_id"))
+    status = _t(spark, d, "part").select(k.alias("pattern_id"), F.when(k % 5 != 0, "stops").otherwise("shape").alias("source"))
+    return patterns.gained_shapes(before, now, status)
+
+
+@query("SELECT o_orderstatus AS status, count(*) AS items, round(avg(o_totalprice), 4) AS mean_worst_m, max(o_totalprice) AS worst_m, round(sum(o_custkey) / 1000.0, 4) AS km FROM orders GROUP BY 1")
+def status_summary(spark, d):
+    out = work.summary(_t(spark, d, "orders").withColumnRenamed("o_orderstatus", "status"), "o_custkey", "o_totalprice")
+    return out.select("status", "items", F.round("mean_worst_m", 4).alias("mean_worst_m"), "worst_m", F.round("km", 4).alias("km"))
+
+
+@query("SELECT l_suppkey AS from_id, l_linenumber AS to_id, arg_min(l_partkey, (CAST(l_quantity AS INTEGER), l_partkey)) AS best FROM lineitem GROUP BY 1, 2")
+def shortest_variant(spark, d):
+    from transitnet.sources import txc
+
+    rows = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("from_id"), F.col("l_linenumber").alias("to_id"), F.array_repeat(F.col("l_partkey"), F.col("l_quantity").cast("int")).alias("points"))
+    return txc.hop_geometry(rows).select("from_id", "to_id", F.get("points", 0).alias("best"))
+
+
+@query("SELECT o_custkey AS key, arg_max(o_orderpriority, o_orderkey) AS atco FROM orders GROUP BY 1")
+def last_writer_wins(spark, d):
+    from transitnet.sources import txc
+
+    return txc.crosswalk(_t(spark, d, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderpriority").alias("atco"), F.col("o_orderkey").alias("ordinal")))
+
+
+@query("SELECT '9100' || CAST(c_nationkey AS VARCHAR) AS atco, arg_min(c_name, c_custkey) AS name FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY 1")
+def station_register(spark, d):
+    from transitnet.sources import naptan
+
+    rows = _t(spark, d, "customer").select(
+        F.concat(F.lit("9100"), F.col("c_nationkey").cast("string")).alias("ATCOCode"), F.col("c_name").alias("CommonName"), F.lit("51.5").alias("Latitude"), F.lit("-3.2").alias("Longitude"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "BCT").otherwise("RLY").alias("StopType"), F.lit("Active ").alias("Status"), F.col("c_custkey").alias("n"),
+    )
+    return naptan.stations(rows).select("atco", "name")
+
+
+@query("SELECT o_orderkey, CAST(o_orderkey % 3 * 86400 + o_orderkey % 24 * 3600 + o_orderkey % 60 * 60 + o_orderkey % 59 AS INTEGER) AS seconds, make_date(CASE WHEN o_orderkey % 100 < 60 THEN 2000 ELSE 1900 END + o_orderkey % 100, o_orderkey % 12 + 1, o_orderkey % 28 + 1) AS day FROM orders")
+def feed_times(spark, d):
+    from transitnet.functions import times
+
+    k = F.col("o_orderkey")
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    iso = F.concat(F.lit("P"), (k % 3).cast("string"), F.lit("DT"), (k % 24).cast("string"), F.lit("H"), (k % 60).cast("string"), F.lit("M"), (k % 59).cast("string"), F.lit("S"))
+    return _t(spark, d, "orders").select("o_orderkey", times.iso_seconds(iso).alias("seconds"), times.cif_date(F.concat(two(k % 100), two(k % 12 + 1), two(k % 28 + 1))).alias("day"))
+
+
+@query("SELECT l_orderkey, CAST(len(x) AS INTEGER) AS n, x[1] AS first, x[-1] AS last FROM (SELECT l_orderkey, list_transform(list_filter(range(0, c), lambda i: c <= 4 OR i % greatest(CAST(ceil(c / 3.0) AS BIGINT), 1) = 0 OR i = c - 1), lambda i: i) AS x FROM (SELECT l_orderkey, count(*) AS c FROM lineitem GROUP BY 1))")
+def thinned_points(spark, d):
+    rows = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("c")).select("l_orderkey", arrays.thinned(F.sequence(F.lit(0).cast("long"), F.col("c") - 1), 4).alias("x"))
+    return rows.select("l_orderkey", F.size("x").alias("n"), F.get("x", 0).alias("first"), F.element_at("x", -1).alias("last"))
+
+
+@query("SELECT o_orderkey AS id, coalesce(CASE WHEN o_orderkey % 4 = 1 THEN 'new' END, 'old') AS v FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 4 = 1")
+def bulk_insert_replace(spark, d):
+    from transitnet.store import upsert
+
+    k = F.col("o_orderkey")
+    old = _t(spark, d, "orders").where((k % 2 == 0) | (k % 8 == 1)).select(k.alias("id"), F.lit("old").alias("v"))
+    return upsert(old, _t(spark, d, "orders").where(k % 4 == 1).select(k.alias("id"), F.lit("new").alias("v")), ["id"], "replace")
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN 'old' ELSE 'new' END AS v FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0")
+def bulk_insert_ignore(spark, d):
+    from transitnet.store import upsert
+
+    k = F.col("o_orderkey")
+    pick = lambda c, v: _t(spark, d, "orders").where(c).select(k.alias("id"), F.lit(v).alias("v"))
+    return upsert(pick(k % 2 == 0, "old"), pick(k % 3 == 0, "new"), ["id"], "ignore")
+
+
+@query("SELECT band, count(*) AS lines, CAST(sum(trips) AS BIGINT) AS trips FROM (SELECT o_custkey AS k, count(*) * 12 AS trips FROM orders GROUP BY 1), (VALUES ('far', 200), ('middle', 20), ('near', 1), ('detail', 0)) b(band, least) WHERE trips >= least GROUP BY 1")
+def zoom_bands(spark, d):
+    lines = _t(spark, d, "orders").groupBy("o_custkey").agg((F.count("*") * 12).alias("trips"))
+    return publish.banded(lines).groupBy("band").agg(F.count("*").alias("lines"), F.sum("trips").alias("trips"))
+
+
+@query(
+    "WITH r AS (SELECT l_suppkey % 40 AS cell, CAST(l_quantity AS BIGINT) AS trips FROM lineitem), f AS (SELECT cell, min(trips) AS floor FROM (SELECT cell, trips, sum(count(*)) OVER (PARTITION BY cell ORDER BY trips DESC) AS u, row_number() OVER (PARTITION BY cell ORDER BY trips DESC) AS k FROM r GROUP BY 1, 2) WHERE u <= 60 OR k = 1 GROUP BY 1) "
+    "SELECT cell, count(*) AS kept FROM r JOIN f USING (cell) WHERE trips >= floor GROUP BY 1"
+)
+def overview_hold_back(spark, d):
+    rows = _t(spark, d, "lineitem").select((F.col("l_suppkey") % 40).alias("cell"), F.col("l_quantity").cast("long").alias("trips"))
+    return coverage.hold_back(rows, coverage.floors(rows, 60)).groupBy("cell").agg(F.count("*").alias("kept"))
+
+
+@query("SELECT way_id, CAST(sum(trips) AS BIGINT) AS n_trips FROM (SELECT l_suppkey % 9 AS a, l_suppkey % 9 + 1 AS b, count(*) AS trips FROM lineitem GROUP BY 1, 2) JOIN (SELECT s_suppkey AS way_id, CAST(s_suppkey % 12 AS DOUBLE) AS f, CAST(s_suppkey % 12 + 1.5 AS DOUBLE) AS t FROM supplier) ON f < b AND t > a GROUP BY 1")
+def attributed_way_trips(spark, d):
+    legs = _t(spark, d, "lineitem").groupBy((F.col("l_suppkey") % 9).alias("a")).agg(F.count("*").alias("trips")).withColumn("b", F.col("a") + 1)
+    placed = legs.select("a", "b", F.lit(1).alias("relation_id"), F.col("a").cast("double").alias("low"), F.col("b").cast("double").alias("high"))
+    k = F.col("s_suppkey")
+    ways = _t(spark, d, "supplier").select(F.lit(1).alias("relation_id"), k.alias("way_id"), (k % 12).cast("double").alias("from_m"), (k % 12 + 1.5).cast("double").alias("to_m"))
+    return tracing.way_trips(legs, placed, ways)
+
+
+@query(
+    "SELECT CAST(c_custkey AS BIGINT) AS relation_id, CASE WHEN c_mktsegment = 'FURNITURE' THEN 'other route' WHEN c_nationkey = 3 THEN 'another region''s' WHEN c_custkey % 5 = 0 THEN 'too few stops' WHEN c_custkey % 7 = 0 THEN 'broken' ELSE 'kept' END AS reason FROM customer"
+)
+def relation_sift(spark, d):
+    k = F.col("c_custkey")
+    rel = _t(spark, d, "customer").select(
+        k.alias("relation_id"), F.col("c_mktsegment").alias("route"), F.create_map(F.lit("operator"), F.when(F.col("c_nationkey") == 3, "Theirs; Ours").otherwise("Ours/Theirs")).alias("tags"), F.when(k % 5 == 0, F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(2))).alias("stops")
+    )
+    paths = _t(spark, d, "customer").select(k.alias("relation_id"), F.when(k % 7 == 0, 1).otherwise(0).alias("breaks"), F.lit(1.0).alias("span_m"))
+    return tracing.sift(rel, paths, ["AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY"], ["ours"], ["theirs"]).select("relation_id", "reason")
+
+
+@query(f"SELECT user_id, s_us AS start_us, count(*) AS n FROM (SELECT user_id, unnest([({_US} // 3600000000) * 3600000000, ({_US} // 3600000000) * 3600000000 - CASE WHEN {_US} % 3600000000 < 3600000000 THEN 3600000000 ELSE 0 END]) AS s_us FROM events) GROUP BY 1, 2")
+def events_sliding(spark, d):
+    e = _t(spark, d, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    return e.groupBy(F.window("at", "2 hours", "1 hour"), "user_id").agg(F.count("*").alias("n")).select("user_id", F.unix_micros("window.start").alias("start_us"), "n")
+
+
 # -- graph and geometry operators without SQL ----------------------------------------------------------------------------
 
 
