@@ -54,23 +54,23 @@ def in_fold(column: str, folds: int) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, most: int, longest: int) -> list[tuple[str, int]]:
-    """At most ``most`` labelled texts of at most ``longest`` characters, in an order fixed by the ids' hashes.
+    """At most ``most`` labelled texts of at most ``longest`` characters, half of them of each label at most.
 
     ``usable`` says, over labels, which rows may be learnt from. A doc_id with several labels counts as its
-    largest. ``most`` bounds both the ids that are broadcast and the texts that reach the driver.
+    largest. Which are taken, and their order, is fixed by the ids' hashes. ``most`` bounds both the ids that are broadcast
+    and the texts that reach the driver.
     """
     ids = (
         labels.where(usable & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
-        .agg(F.max(label).cast("int").alias("_y"))
+        .agg((F.max(label) > 0).cast("int").alias("_y"))
         .withColumn("_h", F.xxhash64("doc_id"))
-        .orderBy("_h", "doc_id")
-        .limit(most)
     )
+    first = lambda y: ids.where(F.col("_y") == y).orderBy("_h", "doc_id").limit(most // 2)
     rows = (
         docs.select("doc_id", "text")
         .where(F.col("text").isNotNull() & (F.length("text") <= longest))
-        .join(F.broadcast(ids), "doc_id")
+        .join(F.broadcast(first(0).union(first(1))), "doc_id")
         .select("_h", "doc_id", "text", "_y")
         .orderBy("_h", "doc_id", "text")
         .limit(most)

@@ -19,7 +19,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from transitnet.llm.common import chunks, training_sample
 
 #: The training sample: documents at most, and characters of each at most.
-SAMPLE_DOCS, SAMPLE_CHARS = 4000, 12_000
+SAMPLE_DOCS, SAMPLE_CHARS = 4000, 10_000
 #: Rows and columns of the table of vectors, and the n-grams' lengths.
 BUCKETS, WIDTH, GRAMS = 1 << 19, 8, (3, 4, 5)
 #: Words whose vectors are averaged; the longest piece of a word that is hashed at once, and the step to the next.
@@ -27,7 +27,7 @@ WINDOW, PIECE, STRIDE = 10, 24, 18
 #: A bucket is learnt from if words of so many documents, or more, fall into it; others add nothing.
 LEAST_SEEN = 3
 #: Passes over the sample, documents of a step, and the optimizer's rate.
-EPOCHS, BATCH, RATE = 8, 300, 0.4
+EPOCHS, BATCH, RATE = 8, 250, 0.4
 
 _WORDS = re.compile(r"\w+(?:[^\w\s]\w+)*")
 
