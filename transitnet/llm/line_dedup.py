@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ from transitnet.llm.common import SEPARATORS, checkpointed
 BYTES_A_BIT, LEAST_BITS, MOST_BITS = 16, 1 << 18, 1 << 28
 #: Columns that exist between the join and the result.
 DROPS, DROP_ID = "__line_dedup_drops", "__line_dedup_id"
+#: Filters that are merged into one at each level.
+FAN_IN = 16
 #: Bits set for each hash.
 PROBES = 4
 
@@ -151,6 +154,17 @@ def _drop(text_at: int, drops_at: int, names: list[str], least_chars: int):
     return run
 
 
+def _merged_filters(parts: DataFrame) -> tuple[bytes, bytes] | None:
+    """The filters of all partitions, merged FAN_IN by FAN_IN on the executors, so that one pair reaches the driver."""
+    keyed = parts.rdd.map(lambda r: (bytes(r[0]), bytes(r[1]))).mapPartitionsWithIndex(lambda k, rows: [(k, pair) for pair in [reduce(merged, rows, None)] if pair])
+    left = keyed.getNumPartitions()
+    while left > 1:
+        left = -(-left // FAN_IN)
+        keyed = keyed.map(lambda pair: (pair[0] // FAN_IN, pair[1])).reduceByKey(merged, left)
+    found = keyed.values().collect()
+    return found[0] if found else None
+
+
 def filter_bits(df: DataFrame) -> int:
     """The filter's size for an input, from the size that its plan expects without reading it."""
     expected = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -174,9 +188,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, bit
     docs = docs.drop("n_lines", "n_dropped", DROPS, DROP_ID)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     bits = bits or filter_bits(docs)
-    parts = rows.select("text").mapInArrow(_fill(bits, least_chars), "once binary, twice binary").rdd.map(lambda r: (bytes(r[0]), bytes(r[1])))
-    depth = 2 if parts.getNumPartitions() < 400 else 3
-    filters = parts.treeAggregate(None, merged, merged, depth)
+    filters = _merged_filters(rows.select("text").mapInArrow(_fill(bits, least_chars), "once binary, twice binary"))
     if filters is None:
         suspects = rows.select(F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"), "doc_id").limit(0)
     else:
