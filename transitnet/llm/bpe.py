@@ -23,8 +23,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 
 from transitnet.llm.common import chunks
 
-#: Characters of a stretch of text, words that are merged together, and words that are remembered from one stretch to the next.
-STRETCH, TOGETHER, MEMORY = 1_500_000, 40_000, 500_000
+#: Characters of a stretch of text, distinct words that are merged together (more would leave the processor's cache), and
+#: words that are remembered from one stretch to the next.
+STRETCH, TOGETHER, MEMORY = 1_500_000, 1_500, 500_000
 
 
 class Merges:
@@ -126,22 +127,30 @@ def load(path: str, pattern: str) -> Merges:
     return Merges(path, pattern)
 
 
+class Numbers(dict):
+    """Words numbered as they are met."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Encoder:
     """Encodes stretches of texts, remembering frequent words between them."""
 
     def __init__(self, merges: Merges):
-        self.merges, self.known = merges, {}
+        self.merges, self.known = merges, Numbers()
         self.flat, self.length = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > MEMORY:
-            self.known, self.flat, self.length = {}, self.flat[:0], self.length[:0]
+            self.known, self.flat, self.length = Numbers(), self.flat[:0], self.length[:0]
         known, find = self.known, self.merges.find
         had = len(known)
         rows, counts = [], []
         for t in texts:
             own = find(t)
-            rows += [known.setdefault(w, len(known)) for w in own]
+            rows += map(known.__getitem__, own)
             counts.append(len(own))
         if len(known) > had:
             new = list(islice(known, had, None))
