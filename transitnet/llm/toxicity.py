@@ -24,6 +24,8 @@ SAMPLE_DOCS, SAMPLE_CHARS = 4000, 10_000
 BUCKETS, WIDTH, GRAMS = 1 << 19, 8, (3, 4, 5)
 #: Words whose vectors are averaged; the longest piece of a word that is hashed at once, and the step to the next.
 WINDOW, PIECE, STRIDE = 10, 24, 18
+#: Characters of text whose words are looked up together.
+STRETCH = 2_000_000
 #: A bucket is learnt from if words of so many documents, or more, fall into it; others add nothing.
 LEAST_SEEN = 3
 #: Passes over the sample, documents of a step, and the optimizer's rate.
@@ -204,7 +206,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[np.ndarray] = [np.zeros(0)]
-            for part in chunks(((t,) for t in batch.column(at).to_pylist()), lambda t: len(t[0] or ""), 4_000_000):
+            for part in chunks(((t,) for t in batch.column(at).to_pylist()), lambda t: len(t[0] or ""), STRETCH):
                 out.append(model.scores([t for (t,) in part]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out), pa.float64())], names=names)
 
