@@ -30,8 +30,6 @@ UNIT_DOCS, UNIT_TOKENS, PIECE = 8192, 2_000_000, 16
 PIVOTS = 64
 #: Candidates whose ids are broadcast to pick their texts; more of them are joined by a shuffle of the texts.
 BROADCAST = 500_000
-#: Of how many tokens one must be shared among the first tokens, besides the one that any prefix filter asks for.
-SHARE = 10
 #: Bytes of text that are hashed at once.
 SEGMENT = 1 << 20
 
@@ -116,13 +114,14 @@ def _least_overlap(n, num: int, den: int):
     return -(-n * num // den)
 
 
-def _share(n):
-    """How many first tokens must be shared besides the one that any prefix filter asks for."""
-    return n // SHARE + 1
+def _step(num: int, den: int) -> int:
+    """Of how many tokens one more must be shared among the first: a prefix is a fifth of a set for 0.9, a quarter for 0.8."""
+    return 10 if 10 * num >= 9 * den else 20
 
 
 def _features(words: int, num: int, den: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("first", pa.list_(pa.int64()))])
+    step = _step(num, den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,7 +135,7 @@ def _features(words: int, num: int, den: int):
                     d1.append(int(s.sum(dtype=np.uint64).astype(np.int64)) if n else 0)
                     d2.append(int(_mixed(s ^ _ODD).sum(dtype=np.uint64).astype(np.int64)) if n else 0)
                     a = _least_overlap(n, num, den)
-                    firsts.append(s[: n - a + _share(n)].view(np.int64) if n and not _alone(n, num, den) else np.zeros(0, np.int64))
+                    firsts.append(s[: n - a + n // step + 1].view(np.int64) if n and not _alone(n, num, den) else np.zeros(0, np.int64))
                 lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, firsts)]).astype(np.int32), pa.array(np.concatenate(firsts)))
                 yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in part], pa.int64()), pa.array(ns, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), lists], schema=schema)
 
@@ -403,7 +402,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     least = F.ceil(F.col("n") * num / den)
     first = some.where(F.size("first") > 0).join(reps.select("d1", "d2", F.col("rep").alias("doc_id")), ["doc_id", "d1", "d2"], "left_semi")
     first = first.select(F.col("doc_id").alias("rep"), "n", F.explode("first").alias("token"))
-    _, _, members = _families(first, F.floor(least / SHARE) + 1)
+    _, _, members = _families(first, F.floor(least / _step(num, den)) + 1)
     small = (F.col("k") <= UNIT_DOCS) & (F.col("weight") <= 2 * UNIT_TOKENS)
     unit = F.when(small, F.xxhash64(F.lit("family"), "component"))
     members = members.select(F.col("rep").alias("doc_id"), unit.alias("unit"))
