@@ -28,8 +28,8 @@ WINDOW, PIECE, STRIDE = 10, 24, 18
 STRETCH = 2_000_000
 #: A bucket is learnt from if words of so many documents, or more, fall into it; others add nothing.
 LEAST_SEEN = 3
-#: Passes over the sample, documents of a step, and the optimizer's rate.
-EPOCHS, BATCH, RATE = 8, 250, 0.4
+#: Steps of the optimizer at least, in whole passes over the sample; documents of a step, and its rate.
+STEPS, BATCH, RATE = 128, 250, 0.4
 
 _WORDS = re.compile(r"\w+(?:[^\w\s]\w+)*")
 
@@ -144,7 +144,7 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     bias = np.array([2.0, -2.0], np.float32)
     seen_table, seen_soft, seen_bias = np.full(BUCKETS, 1e-10, np.float32), np.full((WIDTH, 2), 1e-8), np.full(2, 1e-8)
     weight = np.where(y == 1, 0.5 / max(1, (y & use).sum()), 0.5 / max(1, ((1 - y) & use).sum())) * use
-    for _ in range(EPOCHS):
+    for _ in range(-(-STEPS // max(1, -(-int(use.sum()) // BATCH)))):
         order = rng.permutation(np.flatnonzero(use))
         for at in range(0, len(order), BATCH):
             batch = order[at : at + BATCH]
