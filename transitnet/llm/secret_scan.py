@@ -98,10 +98,20 @@ def _windows(s: Column) -> Column:
     return F.element_at(F.transform(F.array(codes), fold), 1)
 
 
+def _uncovered(c: Column, base: Column) -> Column:
+    """array<struct<start, end>> of the parts of a candidate that no base span covers and that hold a window."""
+    met = F.sort_array(F.filter(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    state = F.struct(F.array().cast("array<struct<start:int,end:int>>").alias("out"), c["start"].alias("at"))
+    upto = lambda s, end: F.concat(s["out"], F.when(end - s["at"] >= WINDOW, F.array(F.struct(s["at"].alias("start"), end.alias("end")))).otherwise(F.array().cast("array<struct<start:int,end:int>>")))
+    step = lambda s, b: F.struct(upto(s, b["start"]).alias("out"), F.greatest(s["at"], b["end"]).alias("at"))
+    return F.aggregate(met, state, step, lambda s: upto(s, c["end"]))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """docs' doc_id and secrets: array<struct<kind, start, end>>, code points with the end exclusive, in the order of start, then kind.
 
-    kind is assign, access, hex or entropy; an entropy span lies in a candidate that no other span touches. A null text is empty.
+    kind is assign, access, hex or entropy; what a base span leaves of a candidate is scanned by itself, so no entropy span touches
+    another. A null text is empty.
     Every row is scanned by itself, whole; repeated rows give equal results; other columns are ignored. An empty table
     gives no rows.
     """
@@ -120,11 +130,12 @@ def scan(docs: DataFrame) -> DataFrame:
         known = F.lit(False)
         for p in ALLOWED:
             known = known | F.regexp_like(s, F.lit(p))
-        met = F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
         spans = F.transform(_windows(s), lambda w: F.struct((c["start"] + w["start"]).alias("start"), F.lit(len(KINDS)).alias("kind"), (c["start"] + w["end"]).alias("end")))
-        return F.when(known | met, F.array().cast("array<struct<start:int,kind:int,end:int>>")).otherwise(spans)
+        return F.when(known, F.array().cast("array<struct<start:int,kind:int,end:int>>")).otherwise(spans)
 
-    more = F.when(F.size("_cand") > 0, F.flatten(F.transform("_cand", inside))).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))
+    parts = F.when(F.size("_cand") > 0, F.flatten(F.transform("_cand", lambda c: _uncovered(c, F.col("_base"))))).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+    rows = rows.select("doc_id", "_t", "_base", parts.alias("_part"))
+    more = F.when(F.size("_part") > 0, F.flatten(F.transform("_part", inside))).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))
     names = F.array(*(F.lit(k) for k, *_ in KINDS), F.lit("entropy"))
     found = rows.select("doc_id", F.sort_array(F.concat("_base", more)).alias("_s"))
     return found.select("doc_id", F.transform("_s", lambda x: F.struct(F.get(names, x["kind"]).alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("secrets"))
