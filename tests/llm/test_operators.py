@@ -318,6 +318,17 @@ def test_secrets_beside_base_spans(spark):
         assert all(a[2] <= b[1] for a, b in zip(spans, spans[1:], strict=False))
 
 
+def test_secrets_of_random_keys(spark):
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    rng = random.Random(5)
+    alphabets = {"base62": upper + lower + digits, "base64": upper + lower + digits + "+/", "base32": upper + "234567", "letters": upper + lower}
+    names = ["AbstractSingletonProxyFactoryBean", "MAX_RETRY_COUNT_DEFAULT", "section2-of-Chapter10", "Donaudampfschifffahrtsgesellschaft", "org/apache/spark/sql/SparkSession"]
+    rows = [(f"{a} {n}", "".join(rng.choice(c) for _ in range(n))) for a, c in alphabets.items() for n in (20, 32) for _ in range(200)] + [("names", x) for x in names]
+    found = secret_scan.scan(spark.createDataFrame(rows, "doc_id string, text string")).groupBy("doc_id").agg(F.avg((F.size("secrets") > 0).cast("int")).alias("share"))
+    share = {r["doc_id"]: r["share"] for r in found.collect()}
+    assert share.pop("names") == 0 and len(share) == 8 and min(share.values()) >= 0.93, share
+
+
 def test_bpe(docs, texts, awkward, spark):
     path, pattern = registry.vocabulary()
     enc = brute.tiktoken_encoding(path, pattern)
