@@ -697,7 +697,7 @@ def pruned_shapes(spark, d):
 def pruned_ways(spark, d):
     from transitnet.operators import maintenance
 
-    traces = _t(spark, d, "lineitem").where("l_orderkey % 50 = 1").groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("way_ids"))
+    traces = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("way_ids"))
     return maintenance.referenced_ways(_t(spark, d, "supplier").select(F.col("s_suppkey").alias("way_id")), traces)
 
 
@@ -858,7 +858,7 @@ def corridor_build(spark, d):
 @query()
 def snapped_polylines(spark, d):
     s = _streets(spark, d)
-    vertices = s.where("id % 2 = 0").select(F.col("name").alias("n"), F.col("id").alias("pattern_id"), F.posexplode(F.arrays_zip("lon_e6", "lat_e6")).alias("seq", "p"))
+    vertices = s.select(F.col("name").alias("n"), F.col("id").alias("pattern_id"), F.posexplode(F.arrays_zip("lon_e6", "lat_e6")).alias("seq", "p"))
     vertices = vertices.select("pattern_id", "seq", (F.col("p.lon_e6") / 10.0).alias("x"), (F.col("p.lat_e6") / 10.0 + 5).alias("y"))
     ways = s.select(F.col("id").alias("way_id"), *((F.get(c, k) / 10.0).alias(n) for n, c, k in (("ax", "lon_e6", 0), ("ay", "lat_e6", 0), ("bx", "lon_e6", 1), ("by", "lat_e6", 1))))
     out = tracing.snapped(vertices, ways)
