@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import groupby
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -126,3 +128,50 @@ def tiktoken_encoding(path, pattern):
 
 def sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
+
+
+#: Windows of each class: what all of one must be, what it must hold, and its least entropy.
+CLASSES = (
+    (re.compile(r"[0-9a-fA-F]+"), re.compile(r"[0-9].*[a-fA-F]|[a-fA-F].*[0-9]"), 3.0),
+    (re.compile(r"[0-9A-Z]+"), re.compile(r"[0-9].*[A-Z]|[A-Z].*[0-9]"), 3.4),
+    (re.compile(r"[0-9A-Za-z]+"), re.compile(r"[0-9].*[A-Za-z]|[A-Za-z].*[0-9]"), 3.6),
+    (re.compile(r"[A-Za-z]+"), re.compile(r"[a-z].*[A-Z]"), 3.6),
+    (re.compile(r"[0-9A-Za-z+/_=-]+"), re.compile(r"(?=.*[A-Z])(?=.*[a-z])(?=.*[0-9]|.*[a-z][A-Z])"), 3.7),
+)
+NAME = r"(?:[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*)"
+ALLOWED = [
+    re.compile(p)
+    for p in (
+        r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}", r"[0-9+/_=-]+", rf"{NAME}([+/_=-]+{NAME})*", rf"[+/_=-]*{NAME}[0-9]{{0,4}}([+/_=-]+{NAME}?[0-9]{{0,4}})*", r"(.{1,9})\1+.{0,9}",
+    )
+]
+
+
+def entropy(s):
+    return -sum(n / len(s) * math.log2(n / len(s)) for n in Counter(s).values())
+
+
+def entropy_secrets(text, width=20):
+    """(start, end) of joined windows of the candidates' parts beside base spans, each window's entropy worked out anew."""
+    text = text or ""
+    covered = [False] * len(text)
+    for x in base_secrets(text):
+        _, a, b = x.split(":")
+        covered[int(a) : int(b)] = [True] * (int(b) - int(a))
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        for hidden, run in groupby(range(*m.span()), lambda i: covered[i]):
+            run = list(run)
+            part = text[run[0] : run[-1] + 1]
+            if hidden or len(part) < width or any(p.fullmatch(part) for p in ALLOWED):
+                continue
+            joined = []
+            for i in range(len(part) - width + 1):
+                w = part[i : i + width]
+                if any(fits.fullmatch(w) and holds.match(w) if "(?=" in holds.pattern else fits.fullmatch(w) and holds.search(w) for fits, holds, least in CLASSES if entropy(w) >= least):
+                    if joined and joined[-1][1] >= i:
+                        joined[-1][1] = i + width
+                    else:
+                        joined.append([i, i + width])
+            out += [(run[0] + a, run[0] + b) for a, b in joined]
+    return out
