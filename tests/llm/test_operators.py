@@ -262,6 +262,61 @@ def test_ann_awkward(spark):
     assert few.count() == 3 and ann.nearest(df.limit(0)).count() == 0
 
 
+def test_ann_ties_of_different_vectors(spark):
+    """59 different vectors of one product: the smallest ids, whatever their order in the block."""
+    rows = [(2000 - k, [1.0, float(k % 7), float(k)]) for k in range(1, 60)] + [(20, [1.0, 0.0, 0.0])] + [(3000 + k, [0.5, 1.0, float(k)]) for k in range(80)]
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+        got = ann.nearest(df).where("query_id = 20").orderBy("rank").collect()
+        assert [r["vec_id"] for r in got] == list(range(1941, 1961)) and {r["score"] for r in got} == {1.0}
+
+
+def test_ann_keeps_doubles(spark):
+    rows = [(20, [1.0, 0.0])] + [(100 + k, [1.0 + k * 1e-12, 0.0]) for k in range(60)]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).where("query_id = 20").orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == list(range(159, 139, -1)) and got[0]["score"] == 1.0 + 59e-12
+
+
+def clustered(n, centres, rng, width=32):
+    c = rng.standard_normal((centres, width))
+    x = c[rng.integers(0, centres, n)] + 0.35 * rng.standard_normal((n, width))
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+
+
+@pytest.mark.parametrize("bounds", [{"PART": 250}, {"PART": 60, "SAMPLE": 1000, "LEAST_SAMPLE": 60, "BLOCK": 64, "TOGETHER": 2}])
+def test_ann_takes_few_parts_of_clusters(spark, monkeypatch, bounds):
+    """Recall against all rows, and parts taken; the second bounds make parts that are cut again, and many blocks."""
+    for name, value in bounds.items():
+        monkeypatch.setattr(ann, name, value)
+    x = clustered(4000, 60, np.random.default_rng(6))
+    df = spark.createDataFrame([(k, [float(c) for c in v]) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = ann.nearest(df).toPandas()
+    assert len(got) == 200 * 20 and (got.groupby("query_id")["rank"].max() == 20).all()
+    found = 0
+    for q, rows in got.groupby("query_id"):
+        s = x.astype(float) @ x[q].astype(float)
+        s[q] = -9
+        found += len(set(np.argsort(-s)[:20]) & set(rows["vec_id"]))
+    assert found >= 0.9 * len(got)
+    routes = ann.learnt(df.selectExpr("array(vec_id) as ids", "embedding as v"), 20)
+    assert bool(routes.second) == ("SAMPLE" in bounds)
+    _, own = routes(x.astype(float), False)
+    asked, parts = routes(x[::20].astype(float), True)
+    size = np.bincount(np.unique(own, return_inverse=True)[1])
+    met = dict(zip(np.unique(own).tolist(), size.tolist(), strict=True))
+    assert sum(met.get(p, 0) for p in parts.tolist()) < len(x) / 3 * len(x[::20])
+
+
+def test_best_is_exact():
+    rng = np.random.default_rng(2)
+    v, q = rng.integers(-2, 3, (300, 6)).astype(float), rng.integers(-2, 3, (40, 6)).astype(float)
+    ids = np.arange(300, 340)
+    a, b, c = ann.best(ids, q, [[k] for k in range(600, 300, -1)], v, 20)
+    for i, own in enumerate(ids):
+        expected = sorted((-float(q[i] @ v[j]), 600 - j) for j in range(300) if 600 - j != own)[:20]
+        assert list(zip((-c[a == own]).tolist(), b[a == own].tolist(), strict=True)) == expected
+
+
 def test_balanced_parts_are_balanced():
     x = np.random.default_rng(0).standard_normal((400, 16))
     parts = ann.balanced_parts(x, ann.neighbour_graph(x, 8), 8)

@@ -2,30 +2,36 @@
 
 On a bounded sample, the graph of nearest neighbours is cut into equal parts with few edges between them, and a small classifier
 learns from a vector which parts its neighbours lie in. Every vector is then indexed under its most probable part. A query goes
-to its several most probable parts, whose vectors are ranked exactly. How many parts it takes is measured on the sample.
+to its several most probable parts, whose vectors are ranked exactly. How many parts it takes is measured on vectors that
+the classifier hasn't seen. Parts that are still large are cut again in the same way, each by a classifier of its own that is
+trained where the part's sample is, so that the vectors of a part, and so the work for a query, stay bounded.
 
-Equal vectors are indexed once, with the ids that can appear in a result. Parts are packed into blocks of bounded size, and
-queries too; a task holds one block of queries and ranks the blocks of vectors of its parts one after the other.
+Equal vectors are indexed once, with the ids that can appear in a result. The vectors of a part are packed into blocks of bounded
+size, and so are its queries; a block of vectors meets the blocks of queries that are routed to its part, a bounded number of them
+in a task, and hands on the best of each query.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from transitnet.llm.common import checkpointed
 
-#: Vectors of the sample that the parts are learnt from; neighbours of each in the graph; hidden units of the classifier.
-SAMPLE, NEIGHBOURS, HIDDEN = 6000, 10, 96
-#: Vectors for each part, and the bounds of the number of parts; vectors and queries of a block.
-PART, FEWEST, MOST_PARTS, BLOCK = 4000, 8, 256, 2048
-#: Sampled neighbours of sampled queries that the parts taken must hold.
-RECALL = 0.96
+#: Vectors of a sample that parts are learnt from, and of it for each part at least; neighbours of each in the graph; hidden units of the classifier.
+SAMPLE, LEAST_SAMPLE, NEIGHBOURS, HIDDEN = 6000, 48, 10, 96
+#: Vectors that a part is meant to have, and the fewest parts of a level; vectors and queries of a block; blocks of queries that a task holds against a block of vectors.
+PART, FEWEST, BLOCK, TOGETHER = 2000, 8, 2048, 16
+#: Neighbours of unseen vectors of the sample that the parts taken at all levels must hold.
+RECALL = 0.94
+#: Pairs whose products are summed at once.
+PAIRS = 50_000
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -112,116 +118,134 @@ class Router:
         return np.maximum(x @ self.p[0] + self.p[1], 0) @ self.p[2] + self.p[3]
 
 
-def learn(x: np.ndarray, count: int, k: int = 20) -> tuple[Router, int]:
-    """(router, parts that a query takes) from a sample of ``count`` vectors.
+def learn(x: np.ndarray, parts: int, recall: float, k: int = 20) -> tuple[Router, int]:
+    """(router, parts that a query takes) from a sample, whose every tenth vector only asks.
 
-    The parts taken hold RECALL of the sample's own k nearest of every tenth vector, under the parts that the router indexes.
+    The parts taken hold ``recall`` of the k nearest of those that ask, under the parts that the router indexes.
     """
-    parts = FEWEST
-    while parts < MOST_PARTS and parts * PART < count and parts * 64 < len(x):
-        parts *= 2
+    asks = np.arange(len(x)) % 10 == 9
     scale = np.linalg.norm(x, axis=1).mean()
-    unit = x / scale
-    graph = neighbour_graph(unit, min(NEIGHBOURS, len(x) - 1))
+    asked, unit = x[asks] / scale, x[~asks] / scale
+    graph = neighbour_graph(unit, min(NEIGHBOURS, len(unit) - 1))
     part = balanced_parts(unit, graph, parts)
-    wanted = np.full((len(x), parts), 0.0)
-    np.add.at(wanted, (np.repeat(np.arange(len(x)), graph.shape[1]), part[graph].ravel()), 1.0)
-    wanted[np.arange(len(x)), part] += 2.0
+    wanted = np.full((len(unit), parts), 0.0)
+    np.add.at(wanted, (np.repeat(np.arange(len(unit)), graph.shape[1]), part[graph].ravel()), 1.0)
+    wanted[np.arange(len(unit)), part] += 2.0
     router = Router(unit, wanted / wanted.sum(axis=1, keepdims=True))
+    own = router(unit).argmax(axis=1)
+    order = np.argsort(-router(asked), axis=1)
+    near = np.argsort(-(asked @ unit.T), axis=1)[:, :k]
     router.p[0] = router.p[0] / scale
-    order = np.argsort(-router(x), axis=1)
-    own = order[:, 0]
-    asked = np.arange(0, len(x), 10)
-    near = neighbour_graph(unit, min(k, len(x) - 1))[asked]
     for take in range(1, parts + 1):
-        if (order[asked][:, None, :take] == own[near][:, :, None]).any(axis=2).mean() >= RECALL:
+        if (order[:, None, :take] == own[near][:, :, None]).any(axis=2).mean() >= recall:
             break
     return router, take
 
 
-def _rank(k: int):
-    """Over rows sorted by query block, the queries before the vectors: the k nearest of each query.
+def parts_for(count: int, sample: int) -> int:
+    """How many parts a level has: a power of two, for PART vectors each, as far as the sample tells them apart."""
+    parts = FEWEST
+    while parts * PART < count and 2 * parts * LEAST_SAMPLE <= sample:
+        parts *= 2
+    return parts
 
-    A block of queries is held while its blocks of vectors pass by; each query keeps the best that it has met.
-    """
-    schema = pa.schema([("query_id", pa.int64()), ("rank", pa.int32()), ("vec_id", pa.int64()), ("score", pa.float64())])
-
-    class Block:
-        def __init__(self, ids: np.ndarray, q: np.ndarray, parts: np.ndarray):
-            self.ids, self.q, self.parts = ids, q, parts
-            self.score = np.full((len(ids), k + 12), -np.inf)
-            self.own = np.full((len(ids), k + 12), None, object)
-
-        def meet(self, part: int, lists: list, v: np.ndarray) -> None:
-            lists = np.fromiter(lists, object, len(lists))
-            asked = np.flatnonzero((self.parts == part).any(axis=1))
-            for at in range(0, len(asked), 256):
-                rows = asked[at : at + 256]
-                g = self.q[rows] @ v.T
-                m = min(self.score.shape[1], len(v))
-                best = np.argpartition(-g, m - 1, axis=1)[:, :m]
-                exact = (self.q[rows][:, None, :] * v[best]).sum(axis=2)  # the same sum wherever the vector stands
-                score, own = np.concatenate([self.score[rows], exact], axis=1), np.concatenate([self.own[rows], lists[best]], axis=1)
-                first = np.array([o[0] if o else 1 << 62 for o in own.ravel()]).reshape(own.shape)
-                order = np.lexsort((first, -score), axis=1)[:, : self.score.shape[1]]
-                self.score[rows], self.own[rows] = np.take_along_axis(score, order, 1), np.take_along_axis(own, order, 1)
-
-        def result(self) -> pa.RecordBatch:
-            out: list[tuple] = []
-            for i, query in enumerate(self.ids.tolist()):
-                found = sorted((-s, x) for s, o in zip(self.score[i].tolist(), self.own[i], strict=True) if o for x in o if x != query)
-                out += [(query, r, x, -s) for r, (s, x) in enumerate(found[:k], start=1)]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)] if out else [pa.array([], t) for t in schema.types], schema=schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = None
-        for batch in batches:
-            _, _, part, ids, lists, vs, parts = batch.columns
-            for row in range(batch.num_rows):
-                if ids[row].is_valid:
-                    if block is not None:
-                        yield block.result()
-                    own = np.frombuffer(ids[row].as_buffer(), np.int64)
-                    block = Block(own, np.frombuffer(vs[row].as_buffer(), np.float32).reshape(len(own), -1).astype(float), np.frombuffer(parts[row].as_buffer(), np.int32).reshape(len(own), -1))
-                elif block is not None:
-                    held = lists[row].as_py()
-                    block.meet(part[row].as_py(), held, np.frombuffer(vs[row].as_buffer(), np.float32).reshape(len(held), -1).astype(float))
-        if block is not None:
-            yield block.result()
+class Routes:
+    """The levels of parts: a router for all vectors, and one for each of its parts that is cut again.
 
-    return run
+    A part's number is that of the first level times 2^20, plus that of the second.
+    """
 
+    def __init__(self, first: tuple[Router, int] | None, second: dict[int, tuple[Router, int]] | None = None):
+        self.first, self.second = first, second or {}
+
+    def __call__(self, x: np.ndarray, queries: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(row, part) of the part that each vector is indexed under, or of those that a query goes to."""
+        if self.first is None:
+            return np.arange(len(x)), np.zeros(len(x), np.int64)
+        router, take = self.first
+        order = np.argsort(-router(x), axis=1, kind="stable")[:, : take if queries else 1]
+        row, part = np.repeat(np.arange(len(x)), order.shape[1]), order.ravel()
+        out = []
+        for p in np.unique(part).tolist():
+            own = row[part == p]
+            if p in self.second:
+                router, take = self.second[p]
+                order = np.argsort(-router(x[own]), axis=1, kind="stable")[:, : take if queries else 1]
+                out.append((np.repeat(own, order.shape[1]), (p << 20) + order.ravel()))
+            else:
+                out.append((own, np.full(len(own), p << 20)))
+        return np.concatenate([r for r, _ in out]), np.concatenate([p for _, p in out])
+
+
+def _routed(df: DataFrame, routes: Routes, queries: bool) -> DataFrame:
+    """(own, v) by part: rows (own, v as bytes, part), one for each part of the vector."""
+    kind, wide = df.schema[0].dataType.simpleString(), df.schema[1].dataType.elementType.simpleString() == "double"
 
-def _route(router: Router, take: int, queries: bool):
-    """Adds the parts of each vector: the most probable one, or as many as a query takes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            order = np.argsort(-router(x.astype(float)), axis=1, kind="stable")[:, : take if queries else 1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.astype(np.float32).tobytes() for r in x], pa.binary()), pa.array(order.astype(np.int32).tolist(), pa.list_(pa.int32()))], names=["own", "v", "parts"])
+            row, part = routes(x.astype(float), queries)
+            packed = pa.array([r.astype(np.float64 if wide else np.float32).tobytes() for r in x], pa.binary())
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), packed.take(row), pa.array(part, pa.int64())], names=["own", "v", "part"])
 
-    return run
+    return df.mapInArrow(run, f"own {kind}, v binary, part long")
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, vector: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): of each vec_id divisible by ``every``, the k nearest others that are found.
+def best(ids: np.ndarray, q: np.ndarray, lists: list, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query id, vec_id, score): the k nearest of each query among vectors with their ids, ties to the smaller id.
 
-    Nearness is the inner product in double precision; ties go to the smaller vec_id. Rows whose vec_id or vector is null, whose
-    vector is empty, zero or of another length than most, or holds a null or non-finite component take no part. A query
-    leaves out all rows of its own vec_id; rows that repeat both id and vector count once. Other columns are ignored. An empty table
-    gives no rows; fewer candidates than k give fewer rows.
+    All vectors that come within a rounding error of the (k + 1)-th best are summed exactly as pairs, however many tie there.
     """
-    v = F.col(vector)
-    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.where(v.isNotNull() & F.col("vec_id").isNotNull()).where(fine).select(F.col("vec_id").cast("long").alias("vec_id"), v.cast("array<float>").alias("v"))
-    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    if lengths is None:
-        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
-    rows = rows.where(F.size("v") == lengths["d"])
-    # Of equal vectors the k + 1 smallest ids can be in a result. Kept by rounds of bounded groups, from hashed shares to the whole.
-    count, shares = lengths["n"], 1
+    many = np.array([len(own) for own in lists])
+    flat, first = np.concatenate([np.asarray(own, np.int64) for own in lists]), np.cumsum(many) - many
+    slack = 1e-13 * q.shape[1] * np.linalg.norm(v, axis=1).max()
+    m, out = min(k + 1, len(v)), []
+    for at in range(0, len(q), 256):
+        g = q[at : at + 256] @ v.T
+        least = np.partition(g, len(v) - m, axis=1)[:, len(v) - m] - slack * np.linalg.norm(q[at : at + 256], axis=1)
+        row, col = np.nonzero(g >= least[:, None])
+        row += at
+        score = np.concatenate([(q[row[b : b + PAIRS]] * v[col[b : b + PAIRS]]).sum(axis=1) for b in range(0, len(row), PAIRS)])
+        each = many[col]
+        until = np.cumsum(each)
+        own = flat[np.repeat(first[col] - until + each, each) + np.arange(until[-1])]
+        row, score = np.repeat(row, each), np.repeat(score, each)
+        other = own != ids[row]
+        row, score, own = row[other], score[other], own[other]
+        order = np.lexsort((own, -score, row))
+        row, score, own = row[order], score[order], own[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+        out.append((ids[row[keep]], own[keep], score[keep]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _meet(k: int, width: int):
+    """Over rows sorted by block of vectors, the vectors before the queries: the k nearest of each query in the block."""
+    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    numbers = lambda packed: np.frombuffer(packed.as_buffer(), np.float32 if width == 4 else np.float64).astype(float)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists, v = [], None
+        for batch in batches:
+            ids, owners, vs = (batch.column(batch.schema.get_field_index(c)) for c in ("ids", "lists", "vs"))
+            for row in range(batch.num_rows):
+                if owners[row].is_valid:
+                    lists = owners[row].as_py()
+                    v = numbers(vs[row]).reshape(len(lists), -1)
+                else:
+                    own = np.frombuffer(ids[row].as_buffer(), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in best(own, numbers(vs[row]).reshape(len(own), -1), lists, v, k)], schema=schema)
+
+    return run
+
+
+def _one_of_each(rows: DataFrame, count: int, k: int) -> DataFrame:
+    """(ids, v): each vector with its k + 1 smallest ids, which alone can be in a result. Kept by rounds of bounded groups, from hashed shares to the whole."""
+    shares = 1
     while shares * 4096 < count:
         shares *= 64
     ids = rows.groupBy("v", F.pmod(F.xxhash64("vec_id"), F.lit(shares)).alias("share")).agg(F.collect_set("vec_id").alias("ids"))
@@ -230,41 +254,78 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, vector: str = "emb
     while shares > 1:
         shares //= 64
         ids = ids.groupBy("v", F.pmod("share", F.lit(shares)).alias("share")).agg(least(F.flatten(F.collect_list("ids"))).alias("ids"))
-    ids = checkpointed(ids.select("ids", "v"))
+    return checkpointed(ids.select("ids", "v"))
+
 
-    sample = ids.select(F.xxhash64(F.element_at("ids", 1)).alias("h"), "ids", "v").orderBy("h", "ids").limit(SAMPLE).select("v").toPandas()["v"]
+def learnt(ids: DataFrame, k: int) -> Routes:
+    """The routes of distinct vectors (ids, v), from a sample of at most SAMPLE of all, and of each part that is cut again."""
+    hashed = F.xxhash64(F.element_at("ids", 1))
+    sample = ids.select(hashed.alias("h"), "ids", "v").orderBy("h", "ids").limit(SAMPLE).select("v").toPandas()["v"]
     x = np.stack([np.asarray(s, float) for s in sample])
-    if len(x) < 64:
-        router, take = None, 1
-    else:
-        router, take = learn(x, count, k)
-
-    def routed(df: DataFrame, queries: bool) -> DataFrame:
-        kind = df.schema[0].dataType.simpleString()
-        if router is None:
-            pack = lambda batches: _route(lambda x: np.zeros((len(x), 1)), 1, queries)(batches)
-            return df.mapInArrow(pack, f"own {kind}, v binary, parts array<int>")
-        return df.mapInArrow(_route(router, take, queries), f"own {kind}, v binary, parts array<int>")
-
-    def blocks(df: DataFrame) -> DataFrame:
-        """df with the block of its part that each row is dealt to by hash, so that none is much larger than BLOCK."""
+    if len(x) < 10 * FEWEST:
+        return Routes(None)
+    count = ids.count()
+    parts = parts_for(count, len(x))
+    if parts * 2 * PART >= count or parts * 2 * LEAST_SAMPLE <= SAMPLE:
+        return Routes(learn(x, parts, RECALL, k))
+    level = RECALL**0.5
+    first = learn(x, parts, level, k)
+    indexed = _routed(ids.select(hashed.alias("h"), "v"), Routes(first), False).withColumn("part", F.shiftright("part", 20))
+    sizes = indexed.groupBy("part").agg(F.count("*").alias("n")).where(F.col("n") > 2 * PART)
+    share = (F.shiftrightunsigned(F.xxhash64("own"), 11) / float(1 << 53)) * F.col("n") < 1.2 * SAMPLE
+    wide = ids.schema["v"].dataType.elementType.simpleString() == "double"
+
+    def train(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        own = np.stack([np.frombuffer(v, np.float64 if wide else np.float32).astype(float) for v in pdf.sort_values("own")["v"].iloc[:SAMPLE]])
+        made = learn(own, parts_for(int(pdf["n"].iloc[0]), len(own)), level, k) if len(own) >= 10 * FEWEST else None
+        return pd.DataFrame({"part": [key[0]], "made": [pickle.dumps(made)]})
+
+    made = indexed.join(sizes, "part").where(share).groupBy("part").applyInPandas(train, "part long, made binary").collect()
+    return Routes(first, {r["part"]: m for r in made if (m := pickle.loads(bytes(r["made"])))})
+
+
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, vector: str = "embedding") -> DataFrame:
+    """(query_id, rank, vec_id, score): of each vec_id divisible by ``every``, the k nearest others that are found.
+
+    Nearness is the inner product in double precision, of floats or doubles as they are; ties go to the smaller vec_id, however
+    many tie. Rows whose vec_id or vector is null, whose vector is empty, zero or holds a null or non-finite component take no
+    part; nor do vectors of another length than most, which have no inner product with them. A query leaves out all rows of its own vec_id; an id with several
+    vectors asks with each, and is found by its best. Other columns are ignored. An empty table gives no rows; fewer candidates
+    than k give fewer rows.
+    """
+    v = F.col(vector)
+    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
+    kind = "float" if vectors.schema[vector].dataType.elementType.simpleString() == "float" else "double"
+    rows = vectors.where(v.isNotNull() & F.col("vec_id").isNotNull()).where(fine).select(F.col("vec_id").cast("long").alias("vec_id"), v.cast(f"array<{kind}>").alias("v"))
+    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
+    if lengths is None:
+        return rows.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
+    rows = rows.where(F.size("v") == lengths["d"])
+    ids = _one_of_each(rows, lengths["n"], k)
+    routes = learnt(ids, k)
+
+    def blocks(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """df with the block of its part that each row is dealt to by hash, so that none is much larger than BLOCK; and the blocks of each part."""
         many = df.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-        return df.join(many, "part").withColumn("block", F.pmod(F.xxhash64("v", "own"), F.col("blocks"))).drop("blocks")
+        return df.join(many, "part").withColumn("block", F.pmod(F.xxhash64("v", "own"), F.col("blocks"))).drop("blocks"), many
 
     def pack_queries(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = np.stack([np.asarray(p, np.int32) for p in pdf["parts"]])
-        return pd.DataFrame({"home": [key[0]], "block": [key[1]], "ids": [np.array(pdf["own"], np.int64).tobytes()], "vs": [b"".join(pdf["v"])], "parts": [parts.tobytes()], "wanted": [np.unique(parts).tolist()]})
+        return pd.DataFrame({"part": [key[0]], "asking": [key[1]], "ids": [np.array(pdf["own"], np.int64).tobytes()], "vs": [b"".join(pdf["v"])]})
 
     def pack_vectors(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"part": [key[0]], "lists": [[list(map(int, o)) for o in pdf["own"]]], "vs": [b"".join(pdf["v"])]})
+        return pd.DataFrame({"part": [key[0]], "block": [key[1]], "lists": [[list(map(int, o)) for o in pdf["own"]]], "vs": [b"".join(pdf["v"])]})
 
-    indexed = blocks(routed(ids, False).select("own", "v", F.element_at("parts", 1).alias("part")))
-    indexed = indexed.groupBy("part", "block").applyInPandas(pack_vectors, "part int, lists array<array<bigint>>, vs binary")
-    asked = routed(rows.where(F.col("vec_id") % every == 0).distinct(), True)
-    asked = blocks(asked.select("own", "v", F.element_at("parts", 1).alias("part"), "parts"))
-    asked = checkpointed(asked.groupBy("part", "block").applyInPandas(pack_queries, "home int, block long, ids binary, vs binary, parts binary, wanted array<int>"))
+    indexed, held = blocks(_routed(ids, routes, False))
+    indexed = indexed.groupBy("part", "block").applyInPandas(pack_vectors, "part long, block long, lists array<array<bigint>>, vs binary")
+    asked, asking = blocks(_routed(rows.where(F.col("vec_id") % every == 0).distinct(), routes, True))
+    asked = asked.groupBy("part", "block").applyInPandas(pack_queries, "part long, asking long, ids binary, vs binary")
+    # A block of vectors and TOGETHER blocks of queries of its part are a unit of work: vectors go to each such group, queries to each block.
     none = lambda kind: F.lit(None).cast(kind)
-    queries = asked.select("home", "block", F.lit(-1).alias("part"), "ids", none("array<array<bigint>>").alias("lists"), "vs", "parts")
-    met = asked.select("home", "block", F.explode("wanted").alias("part")).join(indexed, "part").select("home", "block", "part", none("binary").alias("ids"), "lists", "vs", none("binary").alias("parts"))
-    work = queries.union(met).repartition("home", "block").sortWithinPartitions("home", "block", "part")
-    return work.mapInArrow(_rank(k), "query_id long, rank int, vec_id long, score double")
+    upto = lambda last: F.explode(F.sequence(F.lit(0).cast("long"), last))
+    targets = indexed.join(asking, "part").select("part", "block", upto(F.floor((F.col("blocks") - 1) / TOGETHER)).alias("team"), F.lit(-1).cast("long").alias("asking"), none("binary").alias("ids"), "lists", "vs")
+    queries = asked.join(held, "part").select("part", upto(F.col("blocks") - 1).alias("block"), F.floor(F.col("asking") / TOGETHER).alias("team"), "asking", "ids", none("array<array<bigint>>").alias("lists"), "vs")
+    work = targets.union(queries).repartition("part", "block", "team").sortWithinPartitions("part", "block", "team", "asking")
+    found = work.mapInArrow(_meet(k, 4 if kind == "float" else 8), "query_id long, vec_id long, score double")
+    found = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
