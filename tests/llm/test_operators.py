@@ -122,6 +122,44 @@ def test_urls(spark, sf):
     assert out.count() == spark.read.parquet(f"{sf}/pages.parquet").count() and out.where("verdict is null or bound is null").isEmpty()
 
 
+def test_url_bound_decides(spark):
+    """A bad record blocks, a good one passes, one without is judged by its domain; the suffix, user, port and trailing dot of a host, and of urls at their limits."""
+    urls = ["http://bad.a.co.uk/x", "http://good.a.co.uk/x", "http://new.a.co.uk/x", "http://u@bad.a.co.uk:8080/x", "http://bad.a.co.uk./x", "http://10.0.0.1/x", "http://10.0.0.2:80/x", "http://h.b.co.uk/" + "p" * 1_000_000, "x" * 1_000_000, "http://bad.a.co.uk/x"]
+    pages = spark.createDataFrame([(k % 9, u, "old", 0.5, "r") for k, u in enumerate(urls)], "page_id long, url string, host string, bound double, rule string")
+    outcomes = spark.createDataFrame([("bad.a.co.uk", 20.0, 40.0), ("good.a.co.uk", 39.0, 40.0), ("ok.a.co.uk", 38.0, 40.0), ("h.b.co.uk", 10.0, 10.0), ("10.0.0.1", 1.0, 30.0), ("10.0.0.9", 30.0, 30.0)], "host string, good double, n double")
+    got = [(r["page_id"], r["verdict"]) for r in url_reputation.judge_urls(pages, outcomes).collect()]
+    verdict = ["block", "allow", "allow", "block", "block", "block", "block", "allow", "block", "block"]  # of two known addresses one is bad, so the third is too risky
+    assert sorted(got) == sorted((k % 9, v) for k, v in enumerate(verdict))
+    domains = {"a.b.co.uk": ("b.co.uk", "co.uk"), "b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "uk"), "x.y.com": ("y.com", "com"), "com": ("com", "com"), "1.2.3.4": ("1.2.3.4", "address"), "www.net.de": ("www.net.de", "net.de")}
+    df = spark.createDataFrame([(h,) for h in domains], "h string").select("h", url_reputation.domain_of(F.col("h")).alias("d"), url_reputation.suffix_of(F.col("h")).alias("s"))
+    assert {r["h"]: (r["d"], r["s"]) for r in df.collect()} == domains
+
+
+def test_url_rules_of_one_length(spark):
+    rules = (("a.com", "/x", "block"), ("com", "/x/yy", "allow"), ("a.com", "/x", "allow"))
+    rows = spark.createDataFrame([("a.com", "/x/yy"), ("b.com", "/x/yy")], "host string, path string").select(*url_reputation.matching_rule(F.col("host"), F.col("path"), rules))
+    assert [tuple(r) for r in rows.collect()] == [("a.com/x", "block"), ("com/x/yy", "allow")]
+
+
+def test_beta_bound_by_numbers(spark):
+    """The quantile's approximation against the density summed up."""
+    cases = [(1.0, 1.0), (2.0, 5.0), (17.2, 2.8), (172.0, 28.0), (30.0, 1.0), (1.0, 30.0), (900.0, 100.0)]
+    got = spark.createDataFrame(cases, "a double, b double").select(url_reputation.posterior_bound(F.col("a"), F.col("b"))).collect()
+    x = (np.arange(400_000) + 0.5) / 400_000
+    for (a, b), r in zip(cases, got, strict=True):
+        log = (a - 1) * np.log(x) + (b - 1) * np.log1p(-x)
+        mass = np.cumsum(np.exp(log - log.max()))
+        assert abs(x[np.searchsorted(mass, 0.05 * mass[-1])] - r[0]) < 0.004, (a, b)
+
+
+def test_articles_by_longest_line(spark):
+    body = "The <b>longest</b> line &amp; its mark"
+    pages = spark.createDataFrame([(1, "http://a.com:80/", f"<title>One</title><p>short</p><p>{body.replace('<b>', '').replace('</b>', '')} here</p>"), (2, "http://a.com/", "<title>One</title><p>other words, of another document</p>"), (3, "http://b.com", None), (4, None, "<p>x</p>"), (5, "http://c.com", "<" * 200_000)], "page_id long, url string, html string")
+    docs = spark.createDataFrame([(1, "One\nThe longest line & its mark here \nshort"), (2, "One\nnothing that a page shows"), (3, None), (4, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 0), (None, 1), (1, None)], "doc_id long, quality int")
+    assert [tuple(r) for r in url_reputation.article_outcomes(pages, docs, labels).collect()] == [("a.com", 1.0, 1)]
+
+
 def test_line_dedup(docs, texts, awkward, spark):
     for bits in (None, 1 << 10):  # a filter that is full sends more and changes nothing
         got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["text"] or "") for r in line_dedup.dedup_lines(docs, bits=bits).collect()}

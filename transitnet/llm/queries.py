@@ -30,7 +30,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
-    outcomes = url_reputation.titled_outcomes(pages, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    outcomes = url_reputation.article_outcomes(pages, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return url_reputation.judge_urls(pages, outcomes).withColumn("bound", F.round("bound", 6))
 
 

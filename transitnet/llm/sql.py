@@ -51,25 +51,44 @@ def _strength_sql(members: str, above: str) -> str:
 
 
 _HOST = f"translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), '{_UPPER}', '{_LOWER}')"
-_TITLE = "regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"
+_SITE = f"regexp_replace(regexp_replace(regexp_replace({_HOST}, '^.*@', ''), ':[0-9]*$', ''), '\\.+$', '')"
+_PAGE = "regexp_replace(html, '<[^<>]*>', chr(10), 'g')"
 for _code, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&#39;", "''"), ("&amp;", "&")):
-    _TITLE = f"replace({_TITLE}, '{_code}', '{_char}')"
+    _PAGE = f"replace({_PAGE}, '{_code}', '{_char}')"
+
+
+def _longest_sql(text: str) -> str:
+    return f"list_max(list_transform(string_split({text}, chr(10)), lambda x: {{'n': length(trim(x, {_SPACE})), 'line': trim(x, {_SPACE})}})).line"
+
+
+def _labels_sql(site: str, most: int, whole: str) -> str:
+    tail = lambda k: f"array_to_string(string_split({site}, '.')[-{k}:], '.')"
+    return f"CASE WHEN regexp_matches({site}, '{urls.ADDRESS}') THEN {whole} WHEN regexp_matches({site}, '{urls.TWO_LABELS}') THEN {tail(most + 1)} ELSE {tail(most)} END"
+
+
+def _bound_sql(a: str, b: str) -> str:
+    tail, h = f"{(urls.DEVIATIONS**2 - 3) / 6!r}", f"(2 / (1 / (2 * {a} - 1) + 1 / (2 * {b} - 1)))"
+    w = f"({urls.DEVIATIONS!r} * sqrt({tail} + {h}) / {h} - (1 / (2 * {b} - 1) - 1 / (2 * {a} - 1)) * ({tail} + {5 / 6!r} - 2 / (3 * {h})))"
+    return f"({a} / ({a} + {b} * exp(2 * {w})))"
+
 
 _OP2 = f"""
-WITH p AS (SELECT page_id, {_HOST} AS host, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path, {_TITLE} AS title FROM pages),
+WITH p AS (SELECT page_id, {_HOST} AS host, {_SITE} AS site, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path, {_longest_sql(_PAGE)} AS article FROM pages),
 y AS (SELECT doc_id, max(quality) AS y FROM labels WHERE quality IS NOT NULL GROUP BY 1),
-opened AS (SELECT substr(string_split(text, chr(10))[1], 1, 60) AS title, avg(y) AS rate FROM documents JOIN y USING (doc_id) WHERE text IS NOT NULL GROUP BY 1),
-counted AS (SELECT host, sum(m * rate) AS good, sum(m)::DOUBLE AS n FROM (SELECT host, title, count(*) AS m FROM p WHERE title <> '' AND host <> '' GROUP BY 1, 2) JOIN opened USING (title) GROUP BY 1),
-hosts AS (SELECT host, coalesce(good, 0.0) AS good, coalesce(n, 0.0) AS n, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix FROM (SELECT DISTINCT host FROM p) LEFT JOIN counted USING (host)),
-domains AS (SELECT *, string_split(domain, '.')[-1] AS suffix FROM ({_strength_sql("hosts", "domain")})),
+known AS (SELECT article, avg(y) AS rate FROM (SELECT doc_id, {_longest_sql("text")} AS article FROM documents) JOIN y USING (doc_id) GROUP BY 1),
+counted AS (SELECT site, sum(m * rate) AS good, sum(m)::DOUBLE AS n FROM (SELECT site, article, count(*) AS m FROM p WHERE article <> '' AND site <> '' GROUP BY 1, 2) JOIN known USING (article) GROUP BY 1),
+hosts AS (SELECT site, coalesce(good, 0.0) AS good, coalesce(n, 0.0) AS n, {_labels_sql("site", 2, "site")} AS domain FROM (SELECT DISTINCT site FROM p) LEFT JOIN counted USING (site)),
+domains AS (SELECT *, {_labels_sql("domain", 1, "'address'")} AS suffix FROM ({_strength_sql("hosts", "domain")})),
 suffixes AS (SELECT *, 1 AS every FROM ({_strength_sql("domains", "suffix")})),
 alls AS ({_strength_sql("suffixes", "every")}),
-s AS (SELECT suffixes.suffix, (suffixes.good + (alls.good + 0.5) / (alls.n + 1) * alls.strength) / (suffixes.n + alls.strength) AS m, suffixes.strength AS k FROM suffixes, alls),
-d AS (SELECT domain, (good + s.m * s.k) / (n + s.k) AS m, strength AS k FROM domains JOIN s USING (suffix)),
-h AS (SELECT host, good + d.m * d.k AS a, n - good + (1 - d.m) * d.k AS b FROM hosts JOIN d USING (domain)),
-r AS (SELECT host, a / (a + b) - {urls.DEVIATIONS} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS bound FROM h)
-SELECT page_id, host, path, {_rule_sql(0)} AS rule, coalesce({_rule_sql(1)}, CASE WHEN host <> '' AND bound >= {urls.LEAST_RATE} THEN 'allow' ELSE 'block' END) AS verdict, round(bound, 6) AS bound
-FROM p JOIN r USING (host)
+s AS (SELECT suffixes.suffix, (alls.good + 0.5) / (alls.n + 1) AS m0, (suffixes.good + (alls.good + 0.5) / (alls.n + 1) * alls.strength) / (suffixes.n + alls.strength) AS m, suffixes.strength AS k FROM suffixes, alls),
+d AS (SELECT domain, s.m0, (good + s.m * s.k) / (n + s.k) AS m, strength AS k FROM domains JOIN s USING (suffix)),
+c AS (SELECT domain, least(greatest(m0, 0.01), 0.99) AS m0, least(greatest(m, 0.01), 0.99) AS m, k FROM d),
+h AS (SELECT site, m0, good + m * greatest(k, 1 / least(m, 1 - m)) AS a, n - good + (1 - m) * greatest(k, 1 / least(m, 1 - m)) AS b FROM hosts JOIN c USING (domain)),
+u AS (SELECT *, m0 * greatest(a + b, 1 / least(m0, 1 - m0)) AS a0, (1 - m0) * greatest(a + b, 1 / least(m0, 1 - m0)) AS b0 FROM h),
+r AS (SELECT site, {_bound_sql("a", "b")} AS bound, {_bound_sql("a0", "b0")} AS usual FROM u)
+SELECT page_id, host, path, {_rule_sql(0)} AS rule, coalesce({_rule_sql(1)}, CASE WHEN site <> '' AND bound >= {urls.LEAST_SHARE} * usual THEN 'allow' ELSE 'block' END) AS verdict, round(bound, 6) AS bound
+FROM p JOIN r USING (site)
 """
 
 _MARGIN = " ".join(f"WHEN '{k}' THEN {v}" for k, v in rules.MARGINS.items())

@@ -2,8 +2,8 @@
 
 Labelled page outcomes are counted by host. Counts of hosts are shrunk through beta-binomial priors: all pages
 give the prior of a suffix, the suffix's posterior that of its registered domains, a domain's posterior that of its hosts.
-Each level's prior strength is fitted to how far its members' rates differ beyond chance. A host passes if a lower
-posterior bound of its rate of good pages is high enough. DataFrame operations only.
+Each level's prior strength is fitted to how far its members' rates differ beyond chance. A host passes unless its record
+or its domain's brings the lower posterior bound of its rate of good pages below that of a host with as many pages at the rate of all. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -11,10 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from transitnet.llm.common import SEPARATORS
+
 #: (host, path, verdict) of the contract's rules.
 RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
-#: A host passes if its rate of good pages lies above this with about 95 % of its posterior.
-LEAST_RATE, DEVIATIONS = 0.6, 1.645
+#: A host passes if its lower bound, the 5 % quantile of its posterior, is at least this share of that of a host with as many pages, prior ones included, at the rate of all.
+LEAST_SHARE = 0.97
+#: How many standard deviations the normal distribution's 5 % quantile lies below its mean.
+DEVIATIONS = 1.6448536269514722
+#: Second labels that belong to the suffix before a country's two letters; fixed values.
+SECOND = ("ac", "co", "com", "edu", "go", "gov", "ne", "net", "or", "org")
+#: A suffix of two labels, behind a name; an address instead of a name.
+TWO_LABELS, ADDRESS = rf"\.(?:{'|'.join(SECOND)})\.[a-z]{{2}}$", r"^[0-9.]+$|[\[\]:]"
 #: The bounds of a prior's strength, in pages, and the strength where one member can't tell.
 WEAKEST, STRONGEST, UNKNOWN = 2.0, 200.0, 20.0
 
@@ -39,6 +47,21 @@ def matching_rule(host: Column, path: Column, rules: tuple = RULES) -> tuple[Col
     return rule, verdict
 
 
+def site_of(host: Column) -> Column:
+    """The host as reputations know it: without user, port and trailing dots."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", ""), r"\.+$", "")
+
+
+def domain_of(site: Column) -> Column:
+    """The registered domain: the suffix and the label before it; an address is its own."""
+    return F.when(site.rlike(ADDRESS), site).when(site.rlike(TWO_LABELS), F.substring_index(site, ".", -3)).otherwise(F.substring_index(site, ".", -2))
+
+
+def suffix_of(site: Column) -> Column:
+    """The last label, or two such as co.uk; all addresses are one suffix."""
+    return F.when(site.rlike(ADDRESS), F.lit("address")).when(site.rlike(TWO_LABELS), F.substring_index(site, ".", -2)).otherwise(F.substring_index(site, ".", -1))
+
+
 def _strengths(counts: DataFrame, above: str) -> DataFrame:
     """counts: (above, good, n) of each member. By ``above``: good, n and the strength of its members' common prior.
 
@@ -60,61 +83,82 @@ def _strengths(counts: DataFrame, above: str) -> DataFrame:
 
 
 def host_reputation(hosts: DataFrame) -> DataFrame:
-    """(host, alpha, beta, bound) of each host of (host, good, n): its beta posterior and a lower bound of its rate.
+    """(host, alpha, beta, bound, usual) of each host of (host, good, n): its beta posterior, a lower bound of its rate, and the bound
+    that as many pages at the rate of all would give.
 
-    n counts labelled pages, 0 or null if there are none; such a host has its domain's prior alone. Sums are
-    combined before they are shuffled, so a host with a third of all pages is one row for each task.
+    n counts labelled pages, 0 or null if there are none; such a host has its domain's prior alone. A prior is worth so many
+    pages that one at least is good and one bad. Sums are combined before they are shuffled, so a host with a third of all pages is one row for each task.
     """
     some = F.coalesce(F.col("n"), F.lit(0)).cast("double"), F.coalesce(F.col("good"), F.lit(0)).cast("double")
     hosts = hosts.where("host is not null").groupBy("host").agg(F.sum(some[1]).alias("good"), F.sum(some[0]).alias("n"))
-    hosts = hosts.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
-    domains = _strengths(hosts, "domain").withColumn("suffix", F.substring_index("domain", ".", -1))
+    hosts = hosts.withColumn("domain", domain_of(F.col("host")))
+    domains = _strengths(hosts, "domain").withColumn("suffix", suffix_of(F.col("domain")))
     suffixes = _strengths(domains, "suffix").withColumn("every", F.lit(1))
     every = _strengths(suffixes.drop("strength"), "every").select("every", ((F.col("good") + 0.5) / (F.col("n") + 1)).alias("m0"), F.col("strength").alias("k0"))
     shrunk = lambda m, k: (F.col("good") + F.col(m) * F.col(k)) / (F.col("n") + F.col(k))
-    suffixes = suffixes.join(every, "every").select("suffix", shrunk("m0", "k0").alias("m1"), F.col("strength").alias("k1"))
-    domains = domains.join(suffixes, "suffix").select("domain", shrunk("m1", "k1").alias("m2"), F.col("strength").alias("k2"))
-    alpha, beta = F.col("good") + F.col("m2") * F.col("k2"), F.col("n") - F.col("good") + (1 - F.col("m2")) * F.col("k2")
-    out = hosts.join(domains, "domain").select("host", alpha.alias("alpha"), beta.alias("beta"))
-    return out.withColumn("bound", posterior_bound(F.col("alpha"), F.col("beta")))
+    suffixes = suffixes.join(every, "every").select("suffix", "m0", shrunk("m0", "k0").alias("m1"), F.col("strength").alias("k1"))
+    domains = domains.join(suffixes, "suffix").select("domain", "m0", shrunk("m1", "k1").alias("m2"), F.col("strength").alias("k2"))
+    clipped = lambda m: F.least(F.greatest(m, F.lit(0.01)), F.lit(0.99))
+    most = lambda m, n: F.greatest(n, 1 / F.least(clipped(m), 1 - clipped(m)))
+    worth = lambda m, n: (clipped(m) * most(m, n), (1 - clipped(m)) * most(m, n))
+    prior = worth(F.col("m2"), F.col("k2"))
+    domains = domains.select("domain", "m0", prior[0].alias("a"), prior[1].alias("b"))
+    out = hosts.join(domains, "domain").select("host", "m0", (F.col("good") + F.col("a")).alias("alpha"), (F.col("n") - F.col("good") + F.col("b")).alias("beta"))
+    usual = posterior_bound(*worth(F.col("m0"), F.col("alpha") + F.col("beta")))
+    return out.select("host", "alpha", "beta", posterior_bound(F.col("alpha"), F.col("beta")).alias("bound"), usual.alias("usual"))
 
 
 def posterior_bound(alpha: Column, beta: Column) -> Column:
-    """A lower bound of a beta posterior: its mean less DEVIATIONS of its standard deviation."""
-    total = alpha + beta
-    return alpha / total - DEVIATIONS * F.sqrt(alpha * beta / (total * total * (total + 1)))
+    """The 5 % quantile of a beta distribution with both parameters 1 or more, by the approximation of Cornish and Fisher (Abramowitz and Stegun, 26.5.22)."""
+    a, b = 1 / (2 * alpha - 1), 1 / (2 * beta - 1)
+    h, tail = 2 / (a + b), (DEVIATIONS * DEVIATIONS - 3) / 6
+    w = DEVIATIONS * F.sqrt(tail + h) / h - (b - a) * (tail + 5 / 6 - 2 / (3 * h))
+    return alpha / (alpha + beta * F.exp(2 * w))
 
 
-def titled_outcomes(pages: DataFrame, docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
-    """(host, good, n): pages whose title is the opening of labelled documents, counted by host.
+def longest_line(text: Column) -> Column:
+    """The longest line without ASCII white space at its ends, of equally long ones the last by code point; "" if there is none."""
+    lines = F.transform(F.split(text, "\n", -1), lambda x: F.trim(x, F.lit(SEPARATORS)))
+    return F.coalesce(F.array_max(F.transform(lines, lambda x: F.struct(F.length(x).alias("n"), x.alias("line"))))["line"], F.lit(""))
 
-    A page's title is its document's first line, cut at 60 characters. A page whose title several labelled documents
-    share counts as good by the share of them that are.
+
+def page_text(html: Column) -> Column:
+    """The text between a page's tags, each tag being a line break."""
+    text = F.regexp_replace(html, "<[^<>]*>", "\n")
+    for code, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(code), F.lit(char))
+    return text
+
+
+def article_outcomes(pages: DataFrame, docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """(host, good, n): pages whose article is a labelled document, counted by host.
+
+    A page's article is the document that has the same longest line: titles and openings are shared by different texts. A page whose line
+    several labelled documents share counts as good by the share of them that are. Only hashes of lines are shuffled.
     """
     marked = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-    opening = F.substring(F.substring_index(F.col("text"), "\n", 1), 1, 60)
-    opened = docs.select("doc_id", opening.alias("title")).where("title <> ''").join(marked, "doc_id").groupBy("title").agg(F.avg("y").alias("rate"))
-    title = F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
-    for code, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "'"), ("&#39;", "'"), ("&amp;", "&")):
-        title = F.replace(title, F.lit(code), F.lit(char))
-    titled = pages.select(url_parts(F.col("url"))[0].alias("host"), title.alias("title")).where("title <> '' and host <> ''")
-    # The same title on the same host is one row before it is shuffled, so a frequent one doesn't gather in a task.
-    titled = titled.groupBy("host", "title").agg(F.count("*").alias("n"))
-    return titled.join(opened, "title").groupBy("host").agg(F.sum(F.col("n") * F.col("rate")).alias("good"), F.sum("n").alias("n"))
+    key = lambda text: F.when(longest_line(text) != "", F.sha2(longest_line(text), 256))
+    known = docs.select("doc_id", key(F.col("text")).alias("article")).where("article is not null").join(marked, "doc_id").groupBy("article").agg(F.avg("y").alias("rate"))
+    seen = pages.select(site_of(url_parts(F.col("url"))[0]).alias("host"), key(page_text(F.col("html"))).alias("article")).where("article is not null and host <> ''")
+    # The same article on the same host is one row before it is shuffled, so a frequent one doesn't gather in a task.
+    seen = seen.groupBy("host", "article").agg(F.count("*").alias("n"))
+    return seen.join(known, "article").groupBy("host").agg(F.sum(F.col("n") * F.col("rate")).alias("good"), F.sum("n").alias("n"))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple = RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, bound) of every page: its rule's verdict, else its host's by the bound.
 
     outcomes: (host, good, n), of which any may be missing: a host without outcomes has its domain's prior. bound is the host's.
-    A null url, or one without "://", has an empty host and path, fits no rule and is blocked: nothing is known of it.
-    Rows that repeat a page_id are judged each; other columns are ignored. An empty table gives no rows.
+    A null url, or one without "://", has an empty host and path, fits no rule and is blocked: nothing is known of it. Hosts that differ
+    by user, port or trailing dots alone share a reputation; host is returned as it stands in the url. Of rules of one length the first
+    listed counts. Very long urls are read once, from the start. Rows that repeat a page_id are judged each; other columns are ignored,
+    also those named as a result. An empty table gives no rows.
     """
     host, path = url_parts(F.col("url"))
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    known = rows.groupBy("host").agg(F.lit(0.0).alias("good"), F.lit(0.0).alias("n"))
-    known = known.union(outcomes.select("host", F.col("good").cast("double"), F.col("n").cast("double")))
-    reputation = host_reputation(known).select("host", "bound")
+    rows = pages.select("page_id", host.alias("host"), path.alias("path"), site_of(host).alias("_site"))
+    known = rows.groupBy(F.col("_site").alias("host")).agg(F.lit(0.0).alias("good"), F.lit(0.0).alias("n"))
+    known = known.union(outcomes.select(site_of(F.col("host")), F.col("good").cast("double"), F.col("n").cast("double")))
+    reputation = host_reputation(known).select(F.col("host").alias("_site"), "bound", "usual")
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
-    own = F.when((F.col("host") != "") & (F.col("bound") >= LEAST_RATE), "allow").otherwise("block")
-    return rows.join(reputation, "host").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "bound")
+    own = F.when((F.col("_site") != "") & (F.col("bound") >= LEAST_SHARE * F.col("usual")), "allow").otherwise("block")
+    return rows.join(reputation, "_site").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "bound")
