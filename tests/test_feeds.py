@@ -82,7 +82,7 @@ def test_second_feed_and_work(spark, tmp_path):
 
     assert work.run(store, load, lambda items: match.outcomes(match.ask(items, match.StraightMatcher())), batch=1) == 2
     assert {r["pattern_id"]: r["status"] for r in store.read("match_status").collect()} == {2: "ok", 4: "ok"}
-    assert store.read("pattern_edges").count() == 2 and store.read("edges").select("edge_id").distinct().count() == 1
+    assert store.read("pattern_edges").count() == 2 and store.read("edges").count() == 1
     assert work.publishable(live, store.read("match_status"))
     store.commit({"match_status": store.read("match_status").withColumn("status", F.when(F.col("pattern_id") == 4, "transport_error").otherwise(F.col("status")))})
     assert not work.publishable(live, store.read("match_status"))
@@ -99,6 +99,55 @@ def test_second_feed_and_work(spark, tmp_path):
     assert store.meta("graph_id") == "g1"
 
 
+def test_store_survives_a_lost_writer(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "root"))
+    row = lambda *kv: spark.createDataFrame([kv], TABLES["meta"])
+    store.commit({"meta": row("a", "1")})
+
+    def lost(*_):
+        raise KeyboardInterrupt
+
+    for step in ("_put", "_write"):
+        with monkeypatch.context() as m:
+            m.setattr(store, step, lost)
+            with pytest.raises(KeyboardInterrupt):
+                store.commit({"meta": row("a", "2")})
+        assert store.meta("a") == "1"
+    # What a writer left half done is not in force: a folder without manifest, a manifest under another name.
+    store._write("meta", row("b", "3"), None)
+    (tmp_path / "root" / ".manifest-123").write_text('{"meta": []}')
+    assert store.read("meta").count() == 1
+    # A number that another writer took is an error, and changes nothing.
+    number, manifest = store._manifest()
+    with pytest.raises(OSError, match="another writer"):
+        store._put(number, {})
+    assert store._manifest() == (number, manifest)
+    for k in range(6):
+        store.insert("meta", row(f"k{k}", "x"), ["key"])
+    assert store.read("meta").count() == 7 and len(store._manifest()[1]["meta"]) == 7 and len(store._numbers()) == 3
+    monkeypatch.setattr("transitnet.store.MOST_PARTS", 4)
+    store.insert("meta", row("last", "x"), ["key"])
+    assert store.read("meta").count() == 8 and len(store._manifest()[1]["meta"]) == 1
+    for _ in range(4):
+        store.set_meta("a", "9")
+    assert store.meta("a") == "9" and store.read("meta").count() == 8
+    for f in (tmp_path / "root").glob("manifest-*.json"):
+        f.unlink()
+    with pytest.raises(OSError, match="no manifest"):
+        store.read("meta")
+
+
+def test_batches_again_change_nothing(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "root"))
+    edges = spark.createDataFrame([(7, "x"), (7, "y"), (8, "z")], "edge_id long, road_name string")
+    status = spark.createDataFrame([(1, "ok")], "pattern_id long, status string")
+    put = lambda status: store.insert_all({"match_status": (status, *work.CONFLICTS["match_status"]), "edges": (edges, *work.CONFLICTS["edges"])})
+    assert put(status) == {"match_status": 1, "edges": 2}
+    assert put(status.withColumn("status", F.lit("no_route"))) == {"match_status": 1, "edges": 0}
+    assert [r["status"] for r in store.read("match_status").collect()] == ["no_route"]
+    assert sorted((r["edge_id"], r["road_name"]) for r in store.read("edges").collect()) == [(7, "x"), (8, "z")]
+
+
 def card(kind, **at):
     line = list(kind.ljust(80))
     for place, value in at.items():

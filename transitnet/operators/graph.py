@@ -4,20 +4,26 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A checkpoint in spark.checkpoint.dir, which survives lost executors; a temporary folder only for a single-machine session."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of checkpoints, which all executors share: spark.checkpoint.dir, or a temporary one only for a single-machine session."""
+    context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        if named := df.sparkSession.conf.get("spark.checkpoint.dir", None):
+        if named := spark.conf.get("spark.checkpoint.dir", None):
             context.setCheckpointDir(named)
         elif context.master.startswith("local") and not context.master.startswith("local-cluster"):
             context.setCheckpointDir(tempfile.mkdtemp(prefix="transitnet-checkpoint-"))
         else:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder, which survives lost executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

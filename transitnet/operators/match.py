@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transitnet.functions.geo import with_bbox
+from transitnet.operators.graph import checkpointed
 
 #: Below this confidence a shape's match is doubtful; a road longer than this many times the span and these metres is a detour.
 LEAST_CONFIDENCE, DETOUR, DETOUR_M = 0.30, 3.0, 1000.0
@@ -94,11 +95,11 @@ def classify(points: Column, source: Column, confidence: Column, edges: Column,
 
 
 def outcomes(answered: DataFrame) -> dict[str, DataFrame]:
-    """match_status, pattern_edges and edges of answered rows."""
+    """match_status, pattern_edges and edges of answered rows. The answers are checkpointed: a matcher is asked once, not once for each table."""
     road = F.aggregate("a.edges", F.lit(0.0), lambda acc, e: acc + e["length_m"])
     rows = answered.withColumn("road_m", road)
     status = classify(F.col("points"), F.col("a.source"), F.col("a.confidence"), F.col("a.edges"), F.col("road_m"), F.col("span_m"), F.col("a.error"))
-    rows = rows.withColumn("status", status)
+    rows = checkpointed(rows.withColumn("status", status))
     detour = F.try_divide("road_m", "span_m")
     out = rows.select(
         "pattern_id", "status", F.col("a.source").alias("source"), F.col("a.confidence").alias("confidence"), "road_m", detour.alias("detour"), F.size("a.edges").alias("n_edges"), F.col("a.error").alias("detail"),

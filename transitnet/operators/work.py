@@ -62,6 +62,14 @@ def reclassify(status: DataFrame, fault: str, but: str) -> DataFrame:
     return status.withColumn("status", F.when(F.coalesce(hit, F.lit(False)), "transport_error").otherwise(F.col("status")))
 
 
+#: The key of each table that a batch adds to, and what a row does whose key is there already: a status takes the place of the
+#: old one, an edge that another pattern brought stays, and a link can't be there twice.
+CONFLICTS: dict[str, tuple[tuple[str, ...], str | None]] = {
+    "match_status": (("pattern_id",), "replace"), "trace_status": (("pattern_id",), "replace"), "snap_status": (("pattern_id",), "replace"), "traces": (("pattern_id",), "replace"),
+    "edges": (("edge_id",), "ignore"), "ways": (("way_id",), "ignore"), "pattern_edges": (("pattern_id", "seq"), None),
+}
+
+
 def run(
     store: Store,
     load: Callable[[int], DataFrame],
@@ -73,7 +81,8 @@ def run(
     """Load a batch, process it and commit its rows to all its tables at once, until none is pending; returns items done.
 
     A batch is the unit that a lost job repeats. ``load(n)`` gives at most n pending items, ``process`` the rows for each table, of
-    which the first holds one status for each item.
+    which the first holds one status for each item. Rows are added by CONFLICTS, so a batch that is repeated changes nothing
+    and an edge that several patterns use is there once.
     """
     done, began = 0, time.monotonic()
     while (limit is None or done < limit) and (max_seconds is None or time.monotonic() - began < max_seconds):
@@ -81,12 +90,10 @@ def run(
         if items.isEmpty():
             break
         rows = process(items)
-        before = {t: store.read(t) for t in rows}
-        store.commit({t: before[t].unionByName(r.select(*before[t].columns)) for t, r in rows.items()})
-        now = store.read(next(iter(rows))).count()
-        if now == before[next(iter(rows))].count():
+        added = store.insert_all({t: (r, *CONFLICTS[t]) for t, r in rows.items()})
+        if not added[next(iter(rows))]:
             raise RuntimeError("a batch left no status; it would be loaded for ever")
-        done += now - before[next(iter(rows))].count()
+        done += added[next(iter(rows))]
     return done
 
 

@@ -6,6 +6,7 @@ are edges, customers are feeds' patterns, events are legs; so the operators run
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from transitnet.functions import arrays, geo, ids, scale, text
 from transitnet.operators import aggregate, chains, corridors, coverage, graph, match, network, patterns, publish, tracing, work
+from transitnet.store import Store
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -246,6 +248,23 @@ def reclassify_faults(spark, d):
     return work.reclassify(o, "HIGH|URGENT", "%URGENT").select("pattern_id", "status")
 
 
+@query("SELECT l_suppkey AS edge_id, CAST(1 AS BIGINT) AS rows, count(*) AS links, count(DISTINCT l_orderkey) AS patterns FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1")
+def match_commit(spark, d):
+    """All orders matched to their suppliers in three batches of a store: an edge that several batches bring is there once."""
+    store = Store(spark, f"{graph.shared_folder(spark)}/store-{uuid.uuid4().hex[:12]}")
+    items = _t(spark, d, "orders").select(F.col("o_orderkey").alias("pattern_id"), (F.col("o_orderkey") % 50 + 1).alias("n_trips"))
+    lines = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("pattern_id"), F.col("l_suppkey").alias("edge_id"), "l_linenumber", "l_partkey", "l_extendedprice")
+    place = F.row_number().over(Window.partitionBy("pattern_id").orderBy("l_linenumber", "l_partkey", "edge_id", "l_extendedprice")) - 1
+
+    def process(batch):
+        links = lines.join(batch.select("pattern_id"), "pattern_id", "left_semi").withColumn("seq", place)
+        return {"match_status": batch.select("pattern_id", F.lit("ok").alias("status")), "pattern_edges": links, "edges": links.select("edge_id", F.lit(100.0).alias("length_m"))}
+
+    work.run(store, lambda n: work.busiest_first(work.pending(items, store.read("match_status")), n), process, -(-items.count() // 3))
+    links = store.read("pattern_edges").groupBy("edge_id").agg(F.count("*").alias("links"), F.count_distinct("pattern_id").alias("patterns"))
+    return store.read("edges").groupBy("edge_id").agg(F.count("*").alias("rows")).join(links, "edge_id")
+
+
 @query(
     "SELECT count(*) AS patterns, count(*) FILTER (c_nationkey < 20) AS live, count(*) FILTER (c_nationkey < 20 AND s = 'ok') AS matched, count(*) FILTER (c_nationkey < 20 AND s IS NULL) AS pending, CAST(sum(CASE WHEN c_nationkey < 20 THEN c_custkey % 9 END) AS BIGINT) AS trips, "
     "CAST(sum(CASE WHEN c_nationkey < 20 AND s = 'ok' THEN c_custkey % 9 END) AS BIGINT) AS trips_matched FROM (SELECT *, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 5 = 1 THEN 'no_route' ELSE 'ok' END AS s FROM customer)"
@@ -693,7 +712,7 @@ def pruned_shapes(spark, d):
     return maintenance.unreferenced_shapes(shapes, used, 0)
 
 
-@query("SELECT s_suppkey AS way_id FROM supplier WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_orderkey % 50 = 1)")
+@query("SELECT s_suppkey AS way_id FROM supplier WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey)")
 def pruned_ways(spark, d):
     from transitnet.operators import maintenance
 
