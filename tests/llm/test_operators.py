@@ -136,9 +136,9 @@ def test_url_bound_decides(spark):
 
 
 def test_url_rules_of_one_length(spark):
-    rules = (("a.com", "/x", "block"), ("com", "/x/yy", "allow"), ("a.com", "/x", "allow"))
-    rows = spark.createDataFrame([("a.com", "/x/yy"), ("b.com", "/x/yy")], "host string, path string").select(*url_reputation.matching_rule(F.col("host"), F.col("path"), rules))
-    assert [tuple(r) for r in rows.collect()] == [("a.com/x", "block"), ("com/x/yy", "allow")]
+    rules = (("a.com", "/xyz", "block"), ("com", "/xyzab", "allow"), ("a.com", "/xyz", "allow"), ("com", "/x", "allow"))
+    rows = spark.createDataFrame([("a.com", "/xyzabc"), ("b.com", "/xyzab"), ("a.com", "/xy")], "host string, path string").select(*url_reputation.matching_rule(F.col("host"), F.col("path"), rules))
+    assert [tuple(r) for r in rows.collect()] == [("a.com/xyz", "block"), ("com/xyzab", "allow"), ("com/x", "allow")]
 
 
 def test_beta_bound_by_numbers(spark):
