@@ -321,7 +321,7 @@ def clustered(n, centres, rng, width=32):
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
-@pytest.mark.parametrize("bounds", [{"PART": 250}, {"PART": 60, "SAMPLE": 1000, "LEAST_SAMPLE": 60, "BLOCK": 64, "TOGETHER": 2}])
+@pytest.mark.parametrize("bounds", [{"PART": 250}, {"PART": 60, "SAMPLE": 1000, "LEAST_SAMPLE": 60, "BLOCK": 64, "TOGETHER": 2, "HELD": 900}])
 def test_ann_takes_few_parts_of_clusters(spark, monkeypatch, bounds):
     """Recall against all rows, and parts taken; the second bounds make parts that are cut again, and many blocks."""
     for name, value in bounds.items():

@@ -30,8 +30,8 @@ SAMPLE, LEAST_SAMPLE, NEIGHBOURS, HIDDEN = 6000, 48, 10, 96
 PART, FEWEST, BLOCK, TOGETHER = 2000, 8, 2048, 16
 #: Neighbours of unseen vectors of the sample that the parts taken at all levels must hold.
 RECALL = 0.94
-#: Pairs whose products are summed at once.
-PAIRS = 50_000
+#: Pairs whose products are summed at once; rows that a task holds to hand on only the best of each query that it met in several blocks.
+PAIRS, HELD = 50_000, 500_000
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -223,22 +223,43 @@ def best(ids: np.ndarray, q: np.ndarray, lists: list, v: np.ndarray, k: int) ->
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
+def merged(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best rows of each query; a vec_id that stands several times counts by its best."""
+    order = np.lexsort((-score, vec, query))
+    query, vec, score = query[order], vec[order], score[order]
+    once = np.ones(len(query), bool)
+    once[1:] = (query[1:] != query[:-1]) | (vec[1:] != vec[:-1])
+    query, vec, score = query[once], vec[once], score[once]
+    order = np.lexsort((vec, -score, query))
+    query, vec, score = query[order], vec[order], score[order]
+    keep = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return query[keep], vec[keep], score[keep]
+
+
 def _meet(k: int, width: int):
-    """Over rows sorted by block of vectors, the vectors before the queries: the k nearest of each query in the block."""
+    """Over rows sorted by block of vectors, the vectors before the queries: the k nearest of each query in the task's blocks."""
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
     numbers = lambda packed: np.frombuffer(packed.as_buffer(), np.float32 if width == 4 else np.float64).astype(float)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists, v = [], None
+        lists, v, held = [], None, []
+        together = lambda: merged(*(np.concatenate(c) for c in zip(*held, strict=True)), k)
+        packed = lambda found: pa.RecordBatch.from_arrays([pa.array(c) for c in found], schema=schema)
         for batch in batches:
             ids, owners, vs = (batch.column(batch.schema.get_field_index(c)) for c in ("ids", "lists", "vs"))
             for row in range(batch.num_rows):
                 if owners[row].is_valid:
                     lists = owners[row].as_py()
                     v = numbers(vs[row]).reshape(len(lists), -1)
-                else:
-                    own = np.frombuffer(ids[row].as_buffer(), np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in best(own, numbers(vs[row]).reshape(len(own), -1), lists, v, k)], schema=schema)
+                    continue
+                own = np.frombuffer(ids[row].as_buffer(), np.int64)
+                held.append(best(own, numbers(vs[row]).reshape(len(own), -1), lists, v, k))
+                if sum(len(x[0]) for x in held) > HELD:
+                    held = [together()]
+                    if len(held[0][0]) > HELD // 2:  # many queries rather than many blocks of the same ones
+                        yield packed(held.pop())
+        if held:
+            yield packed(together())
 
     return run
 
