@@ -160,7 +160,9 @@ def test_articles_by_longest_line(spark):
     assert [tuple(r) for r in url_reputation.article_outcomes(pages, docs, labels).collect()] == [("a.com", 1.0, 1)]
 
 
-def test_line_dedup(docs, texts, awkward, spark):
+@pytest.mark.parametrize("sent", [500_000, 0])
+def test_line_dedup(docs, texts, awkward, spark, monkeypatch, sent):
+    monkeypatch.setattr(line_dedup, "BROADCAST", sent)  # beyond it, documents that hold a confirmed line are joined
     for bits in (None, 1 << 10):  # a filter that is full sends more and changes nothing
         got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["text"] or "") for r in line_dedup.dedup_lines(docs, bits=bits).collect()}
         assert got == brute.line_dedup(texts)
@@ -172,6 +174,14 @@ def test_line_dedup(docs, texts, awkward, spark):
     assert line_dedup.dedup_lines(awkward).count() == len(AWKWARD) and line_dedup.dedup_lines(awkward.limit(0)).count() == 0
 
 
+def test_confirmed_hashes_that_share_a_half():
+    h = np.array([[1, 5], [1, 3], [2, 9], [1, 4]], np.uint64)
+    c = line_dedup.Confirmed(np.array([1, 1, 2]), np.array([5, 3, 8]), np.array([10, 11, 12]))
+    there, keeper = c.keepers(h)
+    assert there.tolist() == [True, True, False, False] and keeper[:2].tolist() == [10, 11]
+    assert not line_dedup.Confirmed(*(np.zeros(0, np.int64),) * 3).keepers(h)[0].any()
+
+
 def test_bloom_filters_merge():
     hashes = [np.frombuffer(random.Random(k).randbytes(16), np.uint64) for k in range(60)]
     parts = []

@@ -3,7 +3,9 @@
 One pass fills, in each partition, a filter of hashes seen once and one of hashes seen twice; partial filters merge in a
 tree (seen twice: in either's twice, or in both's once). The merged "twice" filter has a fixed bound and goes to
 all executors. A second pass sends only the hashes that it holds through a shuffle, where they are counted exactly,
-so the filter's false positives cost time but change nothing, and a filter that a larger corpus fills up sends more.
+so the filter's false positives cost time but change nothing, and a filter that a larger corpus fills up sends more. Texts stay
+where they are: the confirmed hashes, with the document that keeps each line, go to all executors if they are few, and beyond a
+bound only documents that hold one are shuffled, found by a third filter of their ids.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from transitnet.llm.common import SEPARATORS, checkpointed
 
@@ -29,6 +31,8 @@ DROPS, DROP_ID = "__line_dedup_drops", "__line_dedup_id"
 FAN_IN = 16
 #: Bits set for each hash.
 PROBES = 4
+#: Confirmed hashes that are sent to all executors, 24 bytes each.
+BROADCAST = 500_000
 
 
 def _key(line: str) -> str:
@@ -129,25 +133,85 @@ def _suspects(filters, bits: int, least_chars: int):
     return run
 
 
-def _drop(text_at: int, drops_at: int, names: list[str], least_chars: int):
+def _ids(ids: np.ndarray) -> np.ndarray:
+    """Rows of two uint64 that stand for ids in a filter."""
+    a = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    a = (a ^ (a >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.stack([a ^ (a >> np.uint64(29)), a * np.uint64(0x94D049BB133111EB)], axis=1)
+
+
+def _fill_ids(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Seen(bits)
+        for batch in batches:
+            seen._put(seen.once, _places(_ids(batch.column(0).to_numpy()), bits))
+        once, twice = seen.packed()
+        yield pa.RecordBatch.from_arrays([pa.array([once], pa.binary()), pa.array([twice], pa.binary())], names=["once", "twice"])
+
+    return run
+
+
+def _affected(filters, bits: int, at: int, names: list[str]):
+    """Adds whether a document's id is in the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Seen(8)
+        table = np.frombuffer(zlib.decompress(filters.value), np.uint8)
+        for batch in batches:
+            ids = batch.column(at).cast(pa.int64())
+            hit = seen._holds(table, _places(_ids(ids.fill_null(0).to_numpy()), bits)) & ~ids.is_null().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit)], names=names)
+
+    return run
+
+
+class Confirmed:
+    """Hashes of lines to drop, sorted, with the document that keeps each."""
+
+    def __init__(self, h1: np.ndarray, h2: np.ndarray, keeper: np.ndarray):
+        order = np.lexsort((h2, h1))
+        self.h1, self.h2, self.keeper = h1[order], h2[order], keeper[order]
+
+    def keepers(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether each hash is there, who keeps its line)."""
+        if not len(self.h1):
+            return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
+        a, b = hashes[:, 0].view(np.int64), hashes[:, 1].view(np.int64)
+        place = np.searchsorted(self.h1, a)
+        inside = lambda p: np.minimum(p, len(self.h1) - 1)
+        while (other := (place < len(self.h1)) & (self.h1[inside(place)] == a) & (self.h2[inside(place)] != b)).any():
+            place = place + other
+        place, there = inside(place), place < len(self.h1)
+        return there & (self.h1[place] == a) & (self.h2[place] == b), self.keeper[place]
+
+
+def _drop(text_at: int, id_at: int, names: list[str], least_chars: int, sent=None, drops_at: int | None = None):
+    """Drops lines by the confirmed hashes that were sent, or by those in a column."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        confirmed = Confirmed(*sent.value) if sent is not None else None
         for batch in batches:
             texts, lines, dropped = [], [], []
-            for text, drop in zip(batch.column(text_at), batch.column(drops_at), strict=True):
+            ids = batch.column(id_at).cast(pa.int64())
+            for k, text in enumerate(batch.column(text_at)):
                 t = text.as_py()
                 own = (t or "").split("\n")
                 lines.append(len(own))
-                gone = 0
-                if drop.is_valid:
-                    out = {int(x["h1"]).to_bytes(8, "little", signed=True) + int(x["h2"]).to_bytes(8, "little", signed=True) for x in drop.as_py()}
-                    kept = [
-                        x for x in own
-                        if not (len(x) >= least_chars and len(key := _key(x)) >= least_chars and xxhash.xxh3_128_digest(key.encode("utf-8", "surrogatepass").lower()) in out)
-                    ]
-                    gone = len(own) - len(kept)
-                    t = "\n".join(kept) if gone else t
-                texts.append(t)
-                dropped.append(gone)
+                gone: set[int] = set()
+                if ids[k].is_valid and (confirmed is not None or batch.column(drops_at)[k].is_valid):
+                    places, hashes = [], []
+                    for i, x in enumerate(own):
+                        if len(x) >= least_chars and len(key := _key(x)) >= least_chars:
+                            places.append(i)
+                            hashes.append(xxhash.xxh3_128_digest(key.encode("utf-8", "surrogatepass").lower()))
+                    if confirmed is not None and places:
+                        there, keeper = confirmed.keepers(_array(hashes))
+                        gone = {places[j] for j in np.flatnonzero(there & (keeper != ids[k].as_py()))}
+                    elif places:
+                        out = {int(x["h1"]).to_bytes(8, "little", signed=True) + int(x["h2"]).to_bytes(8, "little", signed=True) for x in batch.column(drops_at)[k].as_py()}
+                        gone = {i for i, h in zip(places, hashes, strict=True) if h in out}
+                texts.append("\n".join(x for i, x in enumerate(own) if i not in gone) if gone else t)
+                dropped.append(len(gone))
             columns = [pa.array(texts, pa.string()) if k == text_at else c for k, c in enumerate(batch.columns) if k != drops_at]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=names)
 
@@ -183,26 +247,33 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, bit
 
     Rows that repeat a doc_id are one document for the count and are all treated alike. Rows with a null doc_id aren't counted
     and lose nothing. Other columns pass through; columns that docs has under the two new names are replaced, those
-    named as DROPS and DROP_ID too. An empty table gives an empty one.
+    named as DROPS and DROP_ID too. A very long text is split in one task, by itself. An empty table gives an empty one.
     """
     docs = docs.drop("n_lines", "n_dropped", DROPS, DROP_ID)
+    context = docs.sparkSession.sparkContext
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     bits = bits or filter_bits(docs)
     filters = _merged_filters(rows.select("text").mapInArrow(_fill(bits, least_chars), "once binary, twice binary"))
     if filters is None:
         suspects = rows.select(F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"), "doc_id").limit(0)
     else:
-        sent = docs.sparkSession.sparkContext.broadcast(filters[1])
-        suspects = checkpointed(rows.mapInArrow(_suspects(sent, bits, least_chars), "h1 long, h2 long, doc_id long"))
+        twice = context.broadcast(filters[1])
+        suspects = checkpointed(rows.mapInArrow(_suspects(twice, bits, least_chars), "h1 long, h2 long, doc_id long"))
+        twice.destroy()
     # Checkpointed, the counts are dealt out anew for the join, which adaptive execution can then split at a hot line.
     counted = checkpointed(suspects.distinct().groupBy("h1", "h2").agg(F.count("*").alias("k"), F.max("doc_id").alias("keeper")).where(F.col("k") >= least_docs))
-    drops = (
-        suspects.join(counted, ["h1", "h2"])
-        .where("doc_id <> keeper")
-        .groupBy(F.col("doc_id").alias(DROP_ID))
-        .agg(F.collect_set(F.struct("h1", "h2")).alias(DROPS))
-    )
-    out = docs.join(drops, F.col("doc_id").cast("long") == F.col(DROP_ID), "left").drop(DROP_ID)
     columns = docs.columns
-    schema = StructType([*docs.schema.fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
-    return out.mapInArrow(_drop(columns.index("text"), len(columns), [*columns, "n_lines", "n_dropped"], least_chars), schema)
+    names, schema = [*columns, "n_lines", "n_dropped"], StructType([*docs.schema.fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
+    text_at, id_at = columns.index("text"), columns.index("doc_id")
+    if counted.count() <= BROADCAST:
+        found = counted.select("h1", "h2", "keeper").toPandas()
+        sent = context.broadcast(tuple(found[c].to_numpy(np.int64) for c in ("h1", "h2", "keeper")))
+        return docs.mapInArrow(_drop(text_at, id_at, names, least_chars, sent=sent), schema)
+    drops = suspects.join(counted, ["h1", "h2"]).where("doc_id <> keeper")
+    drops = checkpointed(drops.groupBy(F.col("doc_id").alias(DROP_ID)).agg(F.collect_set(F.struct("h1", "h2")).alias(DROPS)))
+    id_bits = MOST_BITS if bits > LEAST_BITS else LEAST_BITS
+    held = context.broadcast(_merged_filters(drops.select(DROP_ID).mapInArrow(_fill_ids(id_bits), "once binary, twice binary"))[0])
+    flagged = docs.mapInArrow(_affected(held, id_bits, id_at, [*columns, DROPS]), StructType([*docs.schema.fields, StructField(DROPS, BooleanType())]))
+    touched = flagged.where(DROPS).drop(DROPS).join(drops, F.col("doc_id").cast("long") == F.col(DROP_ID), "left").drop(DROP_ID)
+    rest = flagged.where(f"not {DROPS}").drop(DROPS).withColumn(DROPS, F.lit(None).cast(drops.schema[DROPS].dataType))
+    return touched.union(rest).mapInArrow(_drop(text_at, id_at, names, least_chars, drops_at=len(columns)), schema)
