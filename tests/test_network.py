@@ -103,6 +103,71 @@ def line(*xy):
     return [x for x, _ in xy], [y for _, y in xy]
 
 
+def brute_links(rows):
+    """All pairs at each node, by the same angles."""
+    import math
+
+    ends = []
+    for i, xs, ys in rows:
+        for end in (0, 1):
+            k = range(len(xs)) if end == 0 else range(len(xs) - 1, -1, -1)
+            k = list(k)
+            scale = math.cos(math.radians(ys[k[0]] / 1e6))
+            dx = dy = along = 0.0
+            for a, b in zip(k, k[1:], strict=False):
+                sx, sy = (xs[b] - xs[a]) / 1e6 * 111_320.0 * scale, (ys[b] - ys[a]) / 1e6 * 111_320.0
+                along, dx, dy = along + math.hypot(sx, sy), dx + sx, dy + sy
+                if along >= 50:
+                    break
+            ends.append((i, end, (xs[k[0]], ys[k[0]]), math.atan2(dy, dx)))
+    best = {}
+    for a in ends:
+        for b in ends:
+            if a[:2] != b[:2] and a[2] == b[2] and (c := round(-math.cos(a[3] - b[3]), 7)) >= math.cos(math.radians(60)):
+                best[a[:2]] = min(best.get(a[:2], (9,)), (-c, *b[:2]))
+    return {(a[0], b[1]) for a, b in best.items() if a[0] < b[1] and best.get(b[1:], (9,))[1:] == a}
+
+
+def test_corridor_links_by_bearing(spark):
+    import random
+
+    rng = random.Random(3)
+    nodes = [(k % 5 * 2000, k // 5 * 2000) for k in range(20)]
+    rows = []
+    for k in range(160):
+        (a, b), (c, d) = rng.sample(nodes, 2)
+        rows.append((k, [a, rng.randrange(9000), c], [b, rng.randrange(9000), d]))
+    got = corridors.links(spark.createDataFrame(rows, "id long, lon_e6 array<int>, lat_e6 array<int>")).collect()
+    assert {tuple(r) for r in got} == brute_links(rows)
+
+
+def test_coalesce_of_many(spark):
+    """Lines joined by components and joins, against all lines of a group at once."""
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for k in range(400):
+        x, y = rng.randrange(12), rng.randrange(12)
+        other = (x + 1, y) if rng.random() < 0.5 else (x, y + 1)
+        p = [(x, y), other][:: rng.choice((1, -1))]
+        rows.append((k, rng.choice("AB"), [a for a, _ in p], [b for _, b in p]))
+    seen, kept = set(), []
+    for r in rows:
+        key = (r[1], frozenset(zip(r[2], r[3], strict=True)))
+        if key not in seen:
+            seen.add(key)
+            kept.append(r)
+    rng.shuffle(kept)
+    kept = kept[:150]
+    out = {(r["name"], r["edge_id"], tuple(r["lon_e6"]), tuple(r["lat_e6"])) for r in chains.coalesce(spark.createDataFrame(kept, "edge_id long, name string, lon_e6 array<int>, lat_e6 array<int>"), ["name"]).collect()}
+    expected = set()
+    for name in "AB":
+        for i, p in chains.joined_lines([(r[0], list(zip(r[2], r[3], strict=True))) for r in kept if r[1] == name]):
+            expected.add((name, i, tuple(a for a, _ in p), tuple(b for _, b in p)))
+    assert out == expected and len(out) < len(kept)
+
+
 def test_coalesce_and_corridors(spark):
     rows = [(1, "A", *line((0, 0), (10, 0))), (2, "A", *line((20, 0), (10, 0))), (3, "B", *line((20, 0), (30, 0))), (4, "A", *line((10, 0), (0, 0)))]
     df = spark.createDataFrame(rows, "edge_id long, name string, lon_e6 array<int>, lat_e6 array<int>")

@@ -41,7 +41,7 @@ def test_relations_to_traces(spark, overpass):
     pat = spark.createDataFrame([(7, [stop("Gamma", 0.2), stop("Beta Halt", 0.1)]), (8, [stop("Alpha", 0.0), stop("Gamma", 0.2)])], "pattern_id long, stops array<struct<name:string,lat:double,lon:double>>")
     fit = tracing.near_namesake(tracing.fits(pat, rel.where("relation_id = 1")), pat, rel)
     assert [(r["pattern_id"], r["start"], r["turned"]) for r in fit.collect()] == [(7, 0, True)]
-    best = tracing.resolve(tracing.traced(fit, pat, paths)).first()
+    best = tracing.resolve(tracing.traced(fit, paths)).first()
     assert best["reason"] == "ok" and best["way_ids"] == [11] and [round(p["lon"], 6) for p in best["points"]] == [0.2, 0.1]
     lines = tracing.line_stops(rel, paths)
     stations = spark.createDataFrame([("A", "Alpha Rail Station", 51.0, 0.0), ("C", "Gamma", 51.0, 0.2)], "tiploc string, name string, lat double, lon double")
@@ -51,7 +51,19 @@ def test_relations_to_traces(spark, overpass):
     assert {r["way_id"]: r["n_trips"] for r in out.collect()} == {10: 5, 11: 5}
 
 
+def test_cut_at_the_relations_own_stops(spark):
+    """The timetable's stops lie on a parallel line 300 m north; the relation's nodes on its own line decide the cut."""
+    stop = lambda n, lat, lon: {"name": n, "lat": lat, "lon": lon}
+    ddl = "stops array<struct<name:string,lat:double,lon:double>>"
+    pat = spark.createDataFrame([(k, [stop("Alpha", 51.0027, 0.02), stop("Beta", 51.0027, 0.08)]) for k in (1, 2)], f"pattern_id long, {ddl}")
+    rel = spark.createDataFrame([(5, [stop("Alpha", 51.0, 0.021), stop("Beta", 51.0, 0.079)])], f"relation_id long, {ddl}")
+    path = spark.createDataFrame([(5, [(51.0, 0.0), (51.0, 0.1)], [10])], "relation_id long, points array<struct<lat:double,lon:double>>, owner array<long>")
+    rows = tracing.traced(tracing.near_namesake(tracing.fits(pat, rel), pat, rel), path).collect()
+    assert len(rows) == 2 and all(r["reason"] == "ok" and r["worst_track_m"] < 1e-6 and [round(p["lon"], 9) for p in r["points"]] == [0.021, 0.079] for r in rows)
+
+
 def test_cut_refusals():
+    assert tracing.cut([(51.0, 0.0), (51.0, 0.0)], [(51.0, 0.0), (51.0, 0.1)], [1])[0] == "off_track"
     path, owner = [(51.0, 0.0), (51.0, 0.1), (51.0, 0.2)], [1, 2]
     assert tracing.cut([(51.1, 0.0), (51.0, 0.1)], path, owner)[0] == "off_track"
     assert tracing.cut([(51.0, 0.0), (51.0, 0.2), (51.0, 0.1)], path, owner)[0] == "not_monotonic"

@@ -68,3 +68,14 @@ def funnel(patterns: DataFrame, status: DataFrame, live: Column, edges: DataFram
     for small in (maps, modes, *([edges.agg(F.count("*").alias("edges"), (F.sum("length_m") / 1000).alias("km"))] if edges is not None else [])):
         one = one.join(F.broadcast(small))  # one row each
     return one
+
+
+def trace_funnel(patterns: DataFrame, traces: DataFrame, live: Column, owed: Column) -> DataFrame:
+    """One row beside the funnel, for patterns that no matcher is asked about: owed, owed without a status, and live ones by status.
+
+    Kept out of the funnel: a pattern that can't be traced would hold its pending number up for ever.
+    """
+    rows = patterns.withColumns({"_live": live, "_owed": owed}).join(traces.select("pattern_id", "status"), "pattern_id", "left")
+    by = rows.where("_live and status is not null").groupBy("status").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("status", "n")))).alias("traced_by_status"))
+    one = rows.agg(counted(F.col("_owed")).alias("patterns_owed"), counted(F.col("_owed") & F.col("status").isNull()).alias("patterns_pending"))
+    return one.join(F.broadcast(by))  # one row

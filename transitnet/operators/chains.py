@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transitnet.operators.graph import checkpointed, follow
+from transitnet.operators.graph import checkpointed, components, follow
 
 
 def successors(edges: DataFrame) -> DataFrame:
@@ -44,10 +44,10 @@ def without_reverse(rows: DataFrame, id: str = "edge_id") -> DataFrame:
     return rows.join(first, id, "left_semi").drop("_key")
 
 
-def joined_lines(members: list[tuple[int, list[tuple[int, int]]]]) -> list[tuple[int, list[tuple[int, int]]]]:
+def joined_lines(members: list[tuple[int, list[tuple[int, int]]]], joints: set[tuple[int, int]] | None = None) -> list[tuple[int, list[tuple[int, int]]]]:
     """Undirected lines of (id, points) joined end to end through nodes that just two ends meet at; each named after its least id.
 
-    A line runs in the direction of its least id's edge; a ring starts there.
+    A line runs from its lesser end to its greater; a ring starts with its least id's line. joints: those nodes, if lines that aren't members end at others.
     """
     ends: dict[tuple[int, int], list[int]] = {}
     lines = dict(sorted(members))
@@ -55,42 +55,48 @@ def joined_lines(members: list[tuple[int, list[tuple[int, int]]]]) -> list[tuple
         for node in (p[0], p[-1]):
             ends.setdefault(node, []).append(i)
     left, out = set(lines), []
-    for i in list(lines):
-        if i not in left:
-            continue
-        left.discard(i)
-        run, names = list(lines[i]), [i]
-        for forward in (True, False):
-            while True:
-                node = run[-1] if forward else run[0]
-                near = ends[node]
-                more = [j for j in near if j in left]
-                if len(near) != 2 or len(more) != 1:
-                    break
-                j = more[0]
-                left.discard(j)
-                names.append(j)
-                p = lines[j]
-                if forward:
-                    run += (p if p[0] == node else p[::-1])[1:]
-                else:
-                    run = (p if p[-1] == node else p[::-1])[:-1] + run
-        out.append((min(names), run))
+
+    def beyond(node: tuple[int, int]):
+        """The lines that follow from a node on, each as it leaves it."""
+        while (joints is None or node in joints) and len(ends[node]) == 2 and len(more := [j for j in ends[node] if j in left]) == 1:
+            left.discard(more[0])
+            p = lines[more[0]]
+            p = p if p[0] == node else p[::-1]
+            yield p
+            node = p[-1]
+
+    for i, p in lines.items():
+        if i in left:
+            left.discard(i)
+            after = [q for line in beyond(p[-1]) for q in line[1:]]
+            before = [q for line in beyond(p[0]) for q in line[1:]]
+            run = [*before[::-1], *p, *after]
+            out.append((i, run[::-1] if run[0] > run[-1] else run))
     return out
 
 
 def coalesce(rows: DataFrame, keys: list[str], id: str = "edge_id") -> DataFrame:
-    """Polylines that share ``keys`` joined end to end: (keys, id, lon_e6, lat_e6), named after the least id.
+    """Polylines that share ``keys`` joined end to end: (keys, id, lon_e6, lat_e6), named after the least id. Ids are unique.
 
-    Joining needs a group's lines together; groups are what one feature can show (a way's edges with equal services).
+    Lines that meet as the only two at a node of their keys are linked, and connected components of the links are found by joins; so a
+    task holds what becomes one line, and not all lines that look alike, which may be most of a country.
     """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keys)
+    rows = checkpointed(rows.select(*keys, id, "lon_e6", "lat_e6"))
+    point = lambda k: F.struct(F.element_at("lon_e6", k).alias("x"), F.element_at("lat_e6", k).alias("y"))
+    ends = rows.select(*keys, id, F.explode(F.array(point(1), point(-1))).alias("_node"))
+    two = ends.groupBy(*keys, "_node").agg(F.count("*").alias("_n"), F.min(id).alias("_a"), F.max(id).alias("_b")).where("_n = 2 and _a <> _b")
+    joints = checkpointed(two.select(F.col("_node").alias("node"), F.col("_a").alias("a"), F.col("_b").alias("b")))
+    group = components(joints.select("a", "b")).select(F.col("node").alias(id), F.col("component").alias("_line"))
+    # The nodes that a line is joined at, by line: two at most.
+    joined = joints.select("node", F.explode(F.array("a", "b")).alias(id)).groupBy(id).agg(F.collect_set("node").alias("_joints"))
+    work = rows.join(group, id, "left").join(joined, id, "left").withColumn("_line", F.coalesce("_line", id))
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         members = [(int(i), list(zip(map(int, xs), map(int, ys), strict=True))) for i, xs, ys in zip(pdf[id], pdf["lon_e6"], pdf["lat_e6"], strict=True)]
-        done = joined_lines(members)
-        out = {k: [v] * len(done) for k, v in zip(keys, key, strict=True)}
-        return pd.DataFrame(out | {id: [i for i, _ in done], "lon_e6": [[x for x, _ in p] for _, p in done], "lat_e6": [[y for _, y in p] for _, p in done]})
+        done = joined_lines(members, {(int(n["x"]), int(n["y"])) for own in pdf["_joints"] if own is not None for n in own})
+        return pd.DataFrame({id: [i for i, _ in done], "lon_e6": [[x for x, _ in p] for _, p in done], "lat_e6": [[y for _, y in p] for _, p in done]})
 
-    ordered = [k.strip("`") for k in keys]
-    return rows.select(*ordered, id, "lon_e6", "lat_e6").groupBy(*ordered).applyInPandas(run, f"{', '.join(p for k in ordered for p in schema.split(', ') if p.startswith(f'`{k}`'))}, {id} long, lon_e6 array<int>, lat_e6 array<int>")
+    lines = work.where("_joints is not null").select("_line", id, "lon_e6", "lat_e6", "_joints").groupBy("_line").applyInPandas(run, f"{id} long, lon_e6 array<int>, lat_e6 array<int>")
+    turned = point(1) > point(-1)
+    alone = work.where("_joints is null").select(id, *(F.when(turned, F.reverse(c)).otherwise(F.col(c)).alias(c) for c in ("lon_e6", "lat_e6")))
+    return rows.select(*keys, id).join(lines.union(alone), id).select(*keys, id, "lon_e6", "lat_e6")

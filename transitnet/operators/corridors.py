@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from transitnet.operators.graph import components
+from transitnet.operators.graph import checkpointed, components
 
 #: Two ends continue each other if they turn by this many degrees at most, seen over so many metres.
 TURN, REACH_M = 60.0, 50.0
@@ -41,14 +41,26 @@ def outward(lon: pd.Series, lat: pd.Series) -> pd.Series:
 def links(features: DataFrame) -> DataFrame:
     """(a, b): features whose ends at a node are each other's straightest continuation.
 
-    A node joins few ends, so the pairs at a node are few; each end keeps its best by a rank, and a link is one that both keep.
+    At a node, ends are ordered by the angle in which they leave; what continues an end straightest is next to its opposite angle, on
+    either side, so each end meets two others however many there are. Ends of equal angle are stood for by the least. A link is
+    one that both ends keep.
     """
     ends = features.select("id", F.posexplode(outward("lon_e6", "lat_e6")).alias("end", "e")).select("id", "end", F.struct("e.x", "e.y").alias("node"), "e.dx", "e.dy")
-    pairs = ends.alias("p").join(ends.alias("q"), (F.col("p.node") == F.col("q.node")) & ((F.col("p.id") != F.col("q.id")) | (F.col("p.end") != F.col("q.end"))))
-    straight = -(F.col("p.dx") * F.col("q.dx") + F.col("p.dy") * F.col("q.dy"))
-    pairs = pairs.select(F.col("p.id").alias("a"), F.col("p.end").alias("ea"), F.col("q.id").alias("b"), F.col("q.end").alias("eb"), F.round(straight, 9).alias("cos")).where(F.col("cos") >= math.cos(math.radians(TURN)))
-    best = F.row_number().over(Window.partitionBy("a", "ea").orderBy(F.desc("cos"), "b", "eb"))
-    kept = pairs.withColumn("_k", best).where("_k = 1").select("a", "ea", "b", "eb")
+    ends = checkpointed(ends.withColumn("at", F.round(F.atan2("dy", "dx"), 9)))
+    leaving = ends.groupBy("node", "at").agg(F.min(F.struct("id", "end", "dx", "dy")).alias("other"))
+    nobody = F.lit(None).cast(leaving.schema["other"].dataType)
+    opposite = F.when(F.col("at") > 0, F.col("at") - round(math.pi, 9)).otherwise(F.col("at") + round(math.pi, 9))
+    rows = leaving.select("node", "at", F.lit(0).alias("asks"), "other", nobody.alias("own")).union(ends.select("node", opposite, F.lit(1), nobody, F.struct("id", "end", "dx", "dy")))
+    whole = Window.partitionBy("node")
+    below = F.last("other", ignorenulls=True).over(whole.orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, 0))
+    above = F.last("other", ignorenulls=True).over(whole.orderBy(F.desc("at"), "asks").rowsBetween(Window.unboundedPreceding, 0))
+    placed = F.when(F.col("asks") == 0, F.struct("at", "other"))
+    rows = rows.select("own", "asks", F.coalesce(below, F.max(placed).over(whole)["other"]).alias("below"), F.coalesce(above, F.min(placed).over(whole)["other"]).alias("above")).where("asks = 1")
+    pairs = rows.select("own", F.explode(F.array_distinct(F.array("below", "above"))).alias("other")).where("own.id <> other.id or own.end <> other.end")
+    straight = -(F.col("own.dx") * F.col("other.dx") + F.col("own.dy") * F.col("other.dy"))
+    pairs = pairs.select(F.col("own.id").alias("a"), F.col("own.end").alias("ea"), F.col("other.id").alias("b"), F.col("other.end").alias("eb"), F.round(straight, 9).alias("cos")).where(F.col("cos") >= math.cos(math.radians(TURN)))
+    kept = pairs.groupBy("a", "ea").agg(F.min(F.struct((-F.col("cos")).alias("c"), "b", "eb")).alias("m")).select("a", "ea", "m.b", "m.eb")
+    kept = checkpointed(kept)
     mutual = kept.alias("l").join(kept.alias("r"), (F.col("l.a") == F.col("r.b")) & (F.col("l.ea") == F.col("r.eb")) & (F.col("l.b") == F.col("r.a")) & (F.col("l.eb") == F.col("r.ea")))
     return mutual.where("l.a < l.b").select("l.a", "l.b")
 

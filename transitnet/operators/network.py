@@ -12,6 +12,7 @@ from transitnet.functions.arrays import kept_vertices
 from transitnet.functions.geo import fit, mercator, overlaps, touches
 from transitnet.functions.ids import sampled
 from transitnet.functions.scale import scaled
+from transitnet.operators.chains import chain_rows
 from transitnet.operators.graph import checkpointed
 
 #: What each edge weighs, from its services' rows.
@@ -110,17 +111,20 @@ class Network:
         rows = self.window(spec, False).join(self.chosen(spec), "edge_id", "inner" if of_services or spec.selective else "left")
         return rows.select(F.coalesce(F.col(column).cast("string"), F.lit("unknown")).alias("grp"), "edge_id").distinct()
 
-    def groups(self, spec: QuerySpec) -> DataFrame:
+    def groups(self, spec: QuerySpec, weights: DataFrame | None = None) -> DataFrame:
         """(grp, n_edges, trips) in drawing order. A group's trips are the sum of its edges' whole weights; more than MOST_GROUPS raise."""
-        stats = self.pairs(spec).join(self.weights(spec), "edge_id").groupBy("grp").agg(F.count("*").alias("n_edges"), F.sum("weight").alias("trips"))
+        weights = self.weights(spec) if weights is None else weights
+        # Checkpointed, so that the count and the result are one computation.
+        stats = checkpointed(self.pairs(spec).join(weights, "edge_id").groupBy("grp").agg(F.count("*").alias("n_edges"), F.sum("weight").alias("trips")))
         if stats.limit(MOST_GROUPS + 1).count() > MOST_GROUPS:
             raise ValueError(f"more than {MOST_GROUPS} groups by {spec.group}; choose another group or a smaller window")
         return stats.orderBy(*group_order(spec.order))
 
     def grouped_query(self, spec: QuerySpec) -> DataFrame:
-        """The edges of each group, a group's rows together, groups in drawing order."""
-        stats = self.groups(spec)
-        rows = self.pairs(spec).where(sampled(F.col("edge_id"), spec.sample)).join(self.weights(spec), "edge_id").join(stats, "grp").join(self.edges.drop("length_m"), "edge_id")
+        """The edges of each group, a group's rows together, groups in drawing order. Weights are worked out once."""
+        weights = checkpointed(self.weights(spec))
+        stats = self.groups(spec, weights)
+        rows = self.pairs(spec).where(sampled(F.col("edge_id"), spec.sample)).join(weights, "edge_id").join(stats, "grp").join(self.edges.drop("length_m"), "edge_id")
         return rows.orderBy(*group_order(spec.order), "edge_id")
 
     def group_weights(self, spec: QuerySpec, low: float = 0.02, high: float = 0.98) -> DataFrame:
@@ -129,21 +133,46 @@ class Network:
         ends = order_statistics(stats, "trips", {"lo": low, "hi": high})
         return stats.join(F.broadcast(ends)).select("grp", scaled(F.col("trips"), F.col("lo"), F.col("hi")).alias("weight"))
 
-    def paths(self, spec: QuerySpec, size: tuple[int, int], tolerance: int = 0) -> DataFrame:
-        """(edge_id, weight, xs, ys): each edge with a part in the window as pixels of a canvas, weights scaled between the window's bounds.
+    def _drawn(self, rows: DataFrame, size: tuple[int, int], tolerance: int) -> DataFrame:
+        """rows of edges with a part in the window, with their vertices as pixels xs and ys of a canvas.
 
-        Vertices nearer than the tolerance (micro-degrees) to the one before are left out first, where one is given.
+        Vertices nearer than the tolerance (micro-degrees) to the one before are left out first, where one is given: by edge, so that what is
+        drawn of an edge doesn't depend on the line that it becomes part of.
         """
         if self.box is None:
             raise ValueError("paths need a window")
-        rows = self.window(spec).where(touches(self.box)).join(self.weights(spec, True), "edge_id").join(F.broadcast(self.bounds(spec)))  # one row
+        rows = rows.where(touches(self.box))
         if tolerance:
             rows = rows.withColumn("_k", kept_vertices("lon_e6", "lat_e6", F.lit(tolerance)))
             rows = rows.withColumn("lon_e6", F.transform("_k", lambda k: F.get("lon_e6", k))).withColumn("lat_e6", F.transform("_k", lambda k: F.get("lat_e6", k)))
         scale, x0, y0 = fit(tuple(v / 1e6 for v in self.box), *size)
         xs = F.transform("lon_e6", lambda v: (mercator(F.lit(0.0), v / 1e6)[0] - x0) * scale)
         ys = F.transform("lat_e6", lambda v: (mercator(v / 1e6, F.lit(0.0))[1] - y0) * scale)
-        return rows.select("edge_id", scaled(F.col("weight"), F.col("lo"), F.col("hi")).alias("weight"), xs.alias("xs"), ys.alias("ys"))
+        return rows.withColumns({"xs": xs, "ys": ys})
+
+    def paths(self, spec: QuerySpec, size: tuple[int, int], tolerance: int = 0) -> DataFrame:
+        """(edge_id, weight, xs, ys): each edge with a part in the window as pixels of a canvas, weights scaled between the window's bounds."""
+        rows = self._drawn(self.window(spec).join(self.weights(spec, True), "edge_id").join(F.broadcast(self.bounds(spec))), size, tolerance)  # one row
+        return rows.select("edge_id", scaled(F.col("weight"), F.col("lo"), F.col("hi")).alias("weight"), "xs", "ys")
+
+    def chained_paths(self, spec: QuerySpec, size: tuple[int, int], tolerance: int = 0) -> DataFrame:
+        """(chain, weight, xs, ys): as paths(), edges of equal weight that follow each other being one line, named after its first edge.
+
+        A chain that leaves the window is cut there: edges outside aren't drawn, and what comes after them is a line of its own.
+        """
+        weights = checkpointed(self.weights(spec, True))
+        edges = self.window(spec).where(touches(self.box)) if self.box else self.window(spec)
+        chains = chain_rows(edges.join(weights.select("edge_id"), "edge_id", "left_semi"), weights)
+        rows = self._drawn(edges.join(chains, "edge_id").join(F.broadcast(self.bounds(spec))), size, tolerance)  # one row
+        parts = rows.groupBy("chain").agg(F.sort_array(F.collect_list(F.struct("seq", "xs", "ys"))).alias("p"), F.min(scaled(F.col("weight"), F.col("lo"), F.col("hi"))).alias("weight"))
+        whole = lambda c: F.flatten(F.transform("p", lambda x, i: F.when(i == 0, x[c]).otherwise(F.slice(x[c], 2, F.size(x[c])))))
+        return parts.select("chain", "weight", whole("xs").alias("xs"), whole("ys").alias("ys"))
+
+    def group_paths(self, spec: QuerySpec, size: tuple[int, int], tolerance: int = 0) -> DataFrame:
+        """(grp, weight, edge_id, xs, ys): each group's edges as pixels with the group's weight, a group's rows together, groups in drawing order."""
+        stats = self.groups(spec)
+        rows = self.pairs(spec).where(sampled(F.col("edge_id"), spec.sample)).join(stats, "grp").join(self.group_weights(spec), "grp").join(self.edges, "edge_id")
+        return self._drawn(rows, size, tolerance).orderBy(*group_order(spec.order), "edge_id").select("grp", "weight", "edge_id", "xs", "ys")
 
     def facet(self, column: str, most: int = 500) -> DataFrame:
         """A column's distinct values, sorted; at most so many, as a menu shows."""

@@ -102,7 +102,10 @@ def project(point: tuple[float, float], path: list[tuple[float, float]]) -> tupl
 
 
 def cut(stops: list[tuple[float, float]], path: list[tuple[float, float]], owner: list[int]) -> tuple[str, float, list, list[int]]:
-    """(reason, worst metres, points, ways) of the part of a path that a stop sequence runs over, in either direction."""
+    """(reason, worst metres, points, ways) of the part of a path that a stop sequence runs over, in either direction.
+
+    A part of less than two points is no line: its stops lie in one place.
+    """
     placed = [project(s, path) for s in stops]
     worst = max(off for _, off in placed)
     if worst > TRACK_M:
@@ -124,6 +127,8 @@ def cut(stops: list[tuple[float, float]], path: list[tuple[float, float]], owner
             if not ways or ways[-1] != way:
                 ways.append(way)
         along += step
+    if len(points) < 2:
+        return "off_track", worst, [], []
     return "ok", worst, points[::-1] if turned else points, ways[::-1] if turned else ways
 
 
@@ -145,11 +150,15 @@ def fits(patterns: DataFrame, relations: DataFrame) -> DataFrame:
 
 
 def near_namesake(fits: DataFrame, patterns: DataFrame, relations: DataFrame) -> DataFrame:
-    """fits with worst_stop_m, the farthest that a stop lies from its namesake, and only those within STOP_M."""
+    """fits with worst_stop_m, the farthest that a stop lies from its namesake, and only those within STOP_M.
+
+    side holds the relation's own stop nodes, in the pattern's order: they lie on its line, where a timetable's stop may lie on a parallel one.
+    """
     rows = fits.join(patterns.select("pattern_id", F.col("stops").alias("ps")), "pattern_id").join(relations.select("relation_id", F.col("stops").alias("rs")), "relation_id")
     side = F.slice(F.when(F.col("turned"), F.reverse("rs")).otherwise(F.col("rs")), F.col("start") + 1, F.size("ps"))
     far = F.array_max(F.zip_with(side, "ps", lambda a, b: haversine_m(a["lat"], a["lon"], b["lat"], b["lon"])))
-    return rows.withColumn("worst_stop_m", far).where(F.col("worst_stop_m") <= STOP_M).drop("ps", "rs")
+    rows = rows.withColumns({"worst_stop_m": far, "side": F.transform(side, lambda s: F.struct(s["lat"].alias("lat"), s["lon"].alias("lon")))})
+    return rows.where(F.col("worst_stop_m") <= STOP_M).drop("ps", "rs")
 
 
 #: Why a pattern found no trace, the most telling last; fixed values.
@@ -166,22 +175,26 @@ def resolve(attempts: DataFrame) -> DataFrame:
     return attempts.withColumn("_k", best).where("_k = 1").drop("_k")
 
 
-def traced(fitted: DataFrame, patterns: DataFrame, paths: DataFrame) -> DataFrame:
-    """Attempts of near fits: each cut out of its relation's path. The polyline arithmetic runs in Arrow batches."""
-    rows = fitted.join(patterns.select("pattern_id", "stops"), "pattern_id").join(paths, "relation_id")
+def traced(fitted: DataFrame, paths: DataFrame) -> DataFrame:
+    """Attempts of near fits: each cut out of its relation's path at its own stop nodes. The polyline arithmetic runs in Arrow batches.
+
+    Patterns that call at the same nodes of a relation share one cut, so a path meets each distinct run of nodes, not each pattern.
+    """
+    runs = fitted.select("relation_id", "side").distinct().join(paths.select("relation_id", "points", "owner"), "relation_id")
 
     def run(batches):
         for pdf in batches:
             out = []
             for r in pdf.itertuples():
-                reason, worst, points, ways = cut([(s["lat"], s["lon"]) for s in r.stops], [(p["lat"], p["lon"]) for p in r.points], list(r.owner))
+                side = [(s["lat"], s["lon"]) for s in r.side]
+                reason, worst, points, ways = cut(side, [(p["lat"], p["lon"]) for p in r.points], list(r.owner))
                 length = sum(_plane(a, b) for a, b in zip(points, points[1:], strict=False))
-                out.append((r.pattern_id, r.relation_id, reason, r.worst_stop_m, worst, length, ways, [{"lat": a, "lon": b} for a, b in points]))
-            yield pd.DataFrame(out, columns=["pattern_id", "relation_id", "reason", "worst_stop_m", "worst_track_m", "length_m", "way_ids", "points"])
+                out.append((r.relation_id, list(r.side), reason, worst, length, ways, [{"lat": a, "lon": b} for a, b in points]))
+            yield pd.DataFrame(out, columns=["relation_id", "side", "reason", "worst_track_m", "length_m", "way_ids", "points"])
 
-    return rows.select("pattern_id", "relation_id", "worst_stop_m", "stops", "points", "owner").mapInPandas(
-        run, "pattern_id long, relation_id long, reason string, worst_stop_m double, worst_track_m double, length_m double, way_ids array<long>, points array<struct<lat:double,lon:double>>"
-    )
+    point = "array<struct<lat:double,lon:double>>"
+    cuts = runs.mapInPandas(run, f"relation_id long, side {point}, reason string, worst_track_m double, length_m double, way_ids array<long>, points {point}")
+    return fitted.select("pattern_id", "relation_id", "worst_stop_m", "side").join(cuts, ["relation_id", "side"]).select("pattern_id", "relation_id", "reason", "worst_stop_m", "worst_track_m", "length_m", "way_ids", "points")
 
 
 def nearest_within(points: DataFrame, targets: DataFrame, within: int, keys: tuple[str, str] = ("p", "t")) -> DataFrame:
