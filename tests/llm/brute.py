@@ -10,6 +10,8 @@ import zlib
 from collections import Counter, defaultdict
 from itertools import groupby
 
+import xxhash
+
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -175,3 +177,135 @@ def entropy_secrets(text, width=20):
                         joined.append([i, i + width])
             out += [(run[0] + a, run[0] + b) for a, b in joined]
     return out
+
+
+def xx(seed, *parts):
+    """Spark's xxhash64 of strings and longs, each seeding the next; signed."""
+    for p in parts:
+        if p is not None:
+            data = p.encode() if isinstance(p, str) else int(p).to_bytes(4, "little") if isinstance(p, Int) else (p & (1 << 64) - 1).to_bytes(8, "little")
+            seed = xxhash.xxh64(data, seed=seed & (1 << 64) - 1).intdigest()
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def copies(rows, seed=1, block=48, fan_in=64, steps=12):
+    """{(source, doc_id): copies} of rows (doc_id, source, size): pivotal rounding written out, one pair after another."""
+    key = lambda s: "" if s is None else "=" + s
+    total, sources = defaultdict(int), {}
+    for d, s, n in rows:
+        total[s, d] += n
+    sizes = defaultdict(int)
+    for (s, _), n in total.items():
+        sizes[s] += n
+    target = targets(sizes)
+    sources = {s: target[s] / sizes[s] if sizes[s] else 0.0 for s in sizes}
+    out, unit = {}, {}
+    level = defaultdict(list)
+    uniform = lambda seed, *units: ((xx(42, Int(seed), *units) & (1 << 64) - 1) >> 11) / (1 << 53)
+    classes = Counter()
+    grade = lambda n: math.floor(math.log(n) / math.log(2) * steps)
+    for (s, d), n in total.items():
+        whole = math.floor(sources[s] + 1e-9)
+        out[s, d] = whole
+        unit[xx(42, key(s), d)] = (s, d)
+        if n and max(0.0, sources[s] - whole) >= 1e-9:
+            classes[s, grade(n)] += 1
+    for (s, d), n in total.items():
+        part = max(0.0, sources[s] - math.floor(sources[s] + 1e-9))
+        if n and part >= 1e-9:
+            u = xx(42, key(s), d)
+            level[s, grade(n), xx(42, u, Int(seed)) % -(-classes[s, grade(n)] // block)].append((n, u, part))
+
+    def fold(held, number):
+        u = p = None
+        for _, v, q in sorted(held):
+            if u is None:
+                u, p = v, q
+                continue
+            draw, both = uniform(seed * 1000 + number, u, v), p + q
+            if both < 1:
+                u, p = (u if draw * both < p else v), both
+            else:
+                won = draw * (2 - both) < 1 - q
+                out[unit[u if won else v]] += 1
+                u, p = (v if won else u), both - 1
+        return u, p
+
+    number, most = 0, max((-(-n // block) for n in classes.values()), default=0)
+    now = {k: fold(v, 0) for k, v in level.items()}
+    while most > 1:
+        number += 1
+        above = defaultdict(list)
+        for (s, g, b), (u, p) in now.items():
+            above[s, g, b // fan_in].append((b, u, p))
+        now, most = {k: fold(v, number) for k, v in above.items()}, -(-most // fan_in)
+    number += 1
+    last = defaultdict(list)
+    for (s, g, _), (u, p) in now.items():
+        last[s].append((-g, u, p))
+    for held in last.values():
+        u, p = fold(held, number)
+        if uniform(seed * 1000 + 999, u) < p:
+            out[unit[u]] += 1
+    return out
+
+
+class Int(int):
+    """An integer of 4 bytes, as a literal is hashed."""
+
+
+def crf_quality(chain, text):
+    """The document's quality by forward and backward sums of plain probabilities, line by line."""
+    from transitnet.llm.quality_crf import OWN, line_features
+
+    lines = (text or "").split("\n")
+    own = [line_features(x) for x in lines]
+    none = [0.0] * OWN
+    score = [sum(w * f for w, f in zip(chain.w, own[k] + (own[k - 1] if k else none) + (own[k + 1] if k + 1 < len(own) else none), strict=True)) for k in range(len(own))]
+    weigh = lambda k, s: math.exp(score[k] * s)
+    ahead = [[math.exp(chain.start[s]) * weigh(0, s) for s in (0, 1)]]
+    for k in range(1, len(lines)):
+        now = [sum(ahead[-1][r] * math.exp(chain.move[r][s]) for r in (0, 1)) * weigh(k, s) for s in (0, 1)]
+        ahead.append([x / sum(now) for x in now])
+    back = [[1.0, 1.0]]
+    for k in range(len(lines) - 1, 0, -1):
+        now = [sum(math.exp(chain.move[s][r]) * weigh(k, r) * back[-1][r] for r in (0, 1)) for s in (0, 1)]
+        back.append([x / sum(now) for x in now])
+    both = [(a[0] * b[0], a[1] * b[1]) for a, b in zip(ahead, back[::-1], strict=True)]
+    return sum((len(x) + 1) * good / (bad + good) for x, (bad, good) in zip(lines, both, strict=True)) / sum(len(x) + 1 for x in lines)
+
+
+def toxicity(model, text, width=10):
+    """A text's score, window by window, word by word, n-gram by n-gram."""
+    from transitnet.llm.toxicity import BUCKETS, GRAMS, PIECE, STRIDE
+
+    mask = (1 << 64) - 1
+
+    def bucket(h):
+        h = (h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 & mask
+        return (h ^ (h >> 32)) % BUCKETS
+
+    def gain(word):
+        found = []
+        for piece in [word] if len(word) <= PIECE else [word[at : at + PIECE] for at in range(0, len(word) - STRIDE // 3, STRIDE)]:
+            chars = [60, *map(ord, piece), 62]
+            h = 7
+            for c in chars:
+                h = (h + c) * 0x9E3779B97F4A7C15 & mask
+            found.append(bucket(h))
+            for n in GRAMS:
+                for at in range(len(chars) - n + 1):
+                    h = n
+                    for c in chars[at : at + n]:
+                        h = (h + c) * 0x9E3779B97F4A7C15 & mask
+                    found.append(bucket(h))
+        gains = [float(model.gains[b]) for b in found]
+        return sum(gains) / max(1, sum(g != 0 for g in gains))
+
+    words = [w for w, _ in groupby(re.findall(r"\w+(?:[^\w\s]\w+)*", (text or "").lower()))]
+    starts = [min(k, max(0, len(words) - width)) for k in range(0, len(words), width)]
+    z = [model.bias + sum(gain(w) for w in words[s : s + width]) / min(width, len(words)) for s in starts] or [model.bias]
+    clean = 1.0
+    for x in z:
+        clean *= 1 / (1 + math.exp(min(x, 500)))
+    return 1 - clean

@@ -216,6 +216,41 @@ def test_quality_crf(spark, sf, docs, awkward):
     assert alone[0, 0] == pytest.approx(padded[0, 0])
 
 
+def test_quality_by_plain_sums(spark, docs, texts):
+    chain = quality_crf.train(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"), F.lit(True))
+    got = chain.qualities([t for _, t in texts])
+    assert got == pytest.approx([brute.crf_quality(chain, t) for _, t in texts], abs=1e-6)  # features are floats
+
+
+def test_quality_gradient_by_differences():
+    """The fit's first step against differences of the plain log-likelihood."""
+    rng = np.random.default_rng(5)
+    docs = [(rng.standard_normal((n, 3)).astype(np.float32), y) for n, y in ((1, 0), (4, 1), (3, 0), (6, 1))]
+
+    def likelihood(theta):
+        w, move, start = theta[:3], theta[3:7].reshape(2, 2), theta[7:]
+        total = 0.0
+        for x, y in docs:
+            s = x @ w
+            ahead = start + np.array([0, s[0]])
+            path = start[y] + y * s[0]
+            for t in range(1, len(s)):
+                ahead = np.logaddexp(ahead[0] + move[0], ahead[1] + move[1]) + np.array([0, s[t]])
+                path += move[y, y] + y * s[t]
+            total += 0.5 / 0.5 / len(s) * (path - np.logaddexp(*ahead))
+        return total / len(docs)
+
+    chain = quality_crf.Chain(3)
+    steps, quality_crf.STEPS = quality_crf.STEPS, 1
+    try:
+        chain.fit(docs)
+    finally:
+        quality_crf.STEPS = steps
+    moved = np.concatenate([chain.w, chain.move.ravel(), chain.start])
+    slope = np.array([(likelihood(d) - likelihood(-d)) / 2e-5 for d in np.eye(9) * 1e-5])
+    assert (np.sign(moved) == np.sign(slope))[np.abs(slope) > 1e-6].all()
+
+
 def test_chain_marginals_by_enumeration():
     from itertools import product
 
@@ -254,6 +289,22 @@ def test_toxicity_query(spark, sf):
     assert np.mean([labels[d] == p for d, p in zip(learnt["doc_id"], learnt["predicted"], strict=True)]) > 0.95
 
 
+def test_toxicity_by_plain_windows(texts):
+    rng = random.Random(8)
+    rows = [(" ".join(words(rng, 40, 200) + (["idiot"] if k % 2 else [])), k % 2) for k in range(200)]
+    model = toxicity.fit(rows)
+    some = [t for _, t in texts[:60]] + [t for t, _ in rows[:20]] + [None, "", "x" * 100, "w*rd w*rd a-b-c " * 9, "idiot idiot"]
+    assert model.scores(some).tolist() == pytest.approx([brute.toxicity(model, t) for t in some], abs=1e-5)
+
+
+def test_toxicity_held_out(spark):
+    """On documents whose labels weren't learnt: few clean ones rejected, most toxic ones caught."""
+    where = "/root/testdata/sf0.01"
+    out = registry.op5_toxicity(spark, where).join(spark.read.parquet(f"{where}/labels.parquet"), "doc_id").where("held_out").toPandas()
+    clean, toxic = out[out["toxic"] == 0], out[out["toxic"] == 1]
+    assert (clean["predicted"] == 0).mean() > 0.93 and (out["predicted"] == out["toxic"]).mean() > 0.85 and len(toxic) > 0
+
+
 def test_quality_rules(docs, texts, awkward, spark):
     got = {r["doc_id"]: tuple(r)[1:7] for r in quality_rules.judge(docs).collect()}
     assert got == {d: brute.base_rules(t) for d, t in texts}
@@ -384,6 +435,15 @@ def test_mixing(docs, awkward, spark):
     assert mixing.expand(out, docs.columns).columns == docs.columns
 
 
+def test_mixing_draws_by_pairs(spark, docs):
+    """Every document's copies against the rounding written out; sizes tie, sources have many blocks and levels."""
+    rng = random.Random(6)
+    rows = [(k, f"s{min(k % 7, 2)}" if k % 11 else None, rng.choice([0, 1, 5, 5, 5, 40, rng.randrange(1, 400)])) for k in range(9000)]
+    df = spark.createDataFrame([(d, "w " * n, s) for d, s, n in rows], "doc_id long, text string, source string")
+    got = {(r["source"], r["doc_id"]): r["copies"] for r in mixing.mix(df).select("source", "doc_id", "copies").collect()}
+    assert got == brute.copies(rows)
+
+
 def test_mixing_keeps_sums(spark):
     rng = random.Random(8)
     rows = [(k, " ".join(["w"] * int(rng.lognormvariate(4, 1))), "en", f"s{min(k % 9, 3)}", 1) for k in range(4000)]
