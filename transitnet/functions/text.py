@@ -18,9 +18,10 @@ def normalise(name: Column) -> Column:
     s = F.lower(F.coalesce(name, F.lit("")))
     s = F.regexp_replace(F.regexp_replace(s, "['’]", ""), r"[.,()\-/]", " ")
     s = F.trim(F.regexp_replace(F.regexp_replace(s, "&", " and "), r"\s+", " "))
+    bare = lambda v: F.trim(F.regexp_replace(v, r"\s*\b(" + "|".join(QUALIFIERS) + r")\s*$", ""))
     for _ in range(PASSES):
-        shorter = F.trim(F.regexp_replace(s, r"\s*\b(" + "|".join(QUALIFIERS) + r")\s*$", ""))
-        s = F.when(F.length(shorter) > 0, shorter).otherwise(s)
+        # As a lambda's argument each pass is worked out once; written out, the expression would triple with each.
+        s = F.element_at(F.transform(F.array(s), lambda v: F.when(F.length(bare(v)) > 0, bare(v)).otherwise(v)), 1)
     return s
 
 

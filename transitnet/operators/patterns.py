@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from transitnet.functions.geo import haversine_m, in_isles
 from transitnet.functions.ids import check_unique, pattern_id
 from transitnet.functions.text import display_name
-from transitnet.schemas import MODES, route_types
+from transitnet.operators.maintenance import refuse_collapse
+from transitnet.schemas import MODES, ROAD_MODES, route_types
+from transitnet.store import Store
 
 
 def sequences(stop_times: DataFrame, key: str = "trip_id", stop: str = "stop_id", order: tuple[str, ...] = ("seq",)) -> DataFrame:
@@ -147,6 +149,31 @@ def retire_modes(patterns: DataFrame, modes: list[str]) -> DataFrame:
     return patterns.withColumn("last_seen", F.when(gone, F.lit(None)).otherwise(F.col("last_seen")))
 
 
+def refresh_services(stored: DataFrame, found: DataFrame, version: str, own: Column, key: str = "pattern_id", floor: float = 0.5) -> DataFrame:
+    """Stored patterns with those that this source drew last time (``own``) retired first, then those found put in by key.
+
+    A source that finds none has stopped drawing: its patterns are retired all the same. One that finds less than ``floor`` of those that
+    were live, but some, has failed: that raises, and nothing changes.
+    """
+    live = own & (F.col("last_seen") == F.lit(version))
+    before, now = stored.where(live).count(), found.count()
+    if now:
+        refuse_collapse(before, now, floor)
+    return merge(stored.withColumn("last_seen", F.when(F.coalesce(live, F.lit(False)), F.lit(None)).otherwise(F.col("last_seen"))), found, version, key)
+
+
+def remembered_modes(store: Store, given: list[str] | None = None, default: tuple[str, ...] = ROAD_MODES) -> list[str]:
+    """The modes to build with: those given, which are remembered, else those of the last build, else the default.
+
+    Without this a bare refresh would narrow a store of many modes. A stored name that is no longer known raises.
+    """
+    modes = sorted(given) if given is not None else sorted(m.strip() for m in (store.meta("modes") or "").split(",") if m.strip()) or sorted(default)
+    route_types(modes)
+    if given is not None:
+        store.set_meta("modes", ",".join(modes))
+    return modes
+
+
 def churn(before: DataFrame, now: DataFrame, matched: DataFrame, key: str) -> DataFrame:
     """One row: keys that are new, that were there and are unmatched still, and that have departed."""
     old = before.select(key, F.lit(1).alias("o")).distinct()

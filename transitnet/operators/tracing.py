@@ -231,26 +231,30 @@ def snapped(vertices: DataFrame, segments: DataFrame) -> DataFrame:
     rows = rows.withColumn("d", d).groupBy("pattern_id", "seq", "x", "y", "way_id").agg(F.min("d").alias("d"))
     near = F.collect_list(F.when(F.col("d") <= SNAP_M, F.struct("d", "way_id")))
     rows = rows.groupBy("pattern_id", "seq", "x", "y").agg(F.sort_array(near).alias("near"))
+    lines = rows.groupBy("pattern_id").agg(F.sort_array(F.collect_list(F.struct("seq", "x", "y", "near"))).alias("line"))
 
-    def scan(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
+    def scan(line) -> tuple[str, list[int], float, float]:
         now, ways, worst, covered, total, before = None, [], 0.0, 0.0, 0.0, None
-        for r in pdf.itertuples():
-            step = math.hypot(r.x - before[0], r.y - before[1]) if before is not None else 0.0
-            options = {n["way_id"]: n["d"] for n in reversed(r.near)}
+        for r in line:
+            step = math.hypot(r["x"] - before[0], r["y"] - before[1]) if before is not None else 0.0
+            options = {n["way_id"]: n["d"] for n in reversed(r["near"])}
             if options:
-                best = r.near[0]
+                best = r["near"][0]
                 now = now if now in options and options[now] <= best["d"] + STICK_M else best["way_id"]
                 worst = max(worst, options[now])
                 covered += step
                 if now not in ways:
                     ways.append(now)
             total += step
-            before = r.x, r.y
+            before = r["x"], r["y"]
         share = covered / total if total else 0.0
-        return pd.DataFrame({"pattern_id": [key[0]], "status": ["ok" if share >= COVER else "uncovered"], "way_ids": [ways if share >= COVER else []], "covered": [share], "worst_m": [worst]})
+        return "ok" if share >= COVER else "uncovered", ways if share >= COVER else [], share, worst
 
-    return rows.groupBy("pattern_id").applyInPandas(scan, "pattern_id long, status string, way_ids array<long>, covered double, worst_m double")
+    def run(batches):
+        for pdf in batches:
+            yield pd.DataFrame([(p, *scan(line)) for p, line in zip(pdf["pattern_id"], pdf["line"], strict=True)], columns=["pattern_id", "status", "way_ids", "covered", "worst_m"])
+
+    return lines.mapInPandas(run, "pattern_id long, status string, way_ids array<long>, covered double, worst_m double")
 
 
 def legs(sequences: DataFrame, key: str = "sequence", calls: str = "calls") -> DataFrame:

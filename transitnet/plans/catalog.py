@@ -33,10 +33,14 @@ def query(sql: str | None = None, **fill: str):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from transitnet.plans import roundtrips  # registers its own
+
+    del roundtrips
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
 
 
@@ -850,7 +854,7 @@ def events_sliding(spark, d):
     return e.groupBy(F.window("at", "2 hours", "1 hour"), "user_id").agg(F.count("*").alias("n")).select("user_id", F.unix_micros("window.start").alias("start_us"), "n")
 
 
-# -- graph and geometry operators without SQL ----------------------------------------------------------------------------
+# -- graph and geometry operators ----------------------------------------------------------------------------
 
 
 def _streets(spark, d):
@@ -863,18 +867,15 @@ def _streets(spark, d):
     return _t(spark, d, "part").select(k.alias("id"), k.alias("edge_id"), lon.alias("lon_e6"), lat.alias("lat_e6"), F.col("p_brand").alias("name"))
 
 
-@query()
-def coalesced_lines(spark, d):
-    out = chains.coalesce(chains.without_reverse(_streets(spark, d)), ["name"])
-    return out.select("name", "edge_id", F.size("lon_e6").alias("points"))
-
-
-@query()
-def corridor_build(spark, d):
-    return corridors.build(chains.without_reverse(_streets(spark, d)))
-
-
-@query()
+@query(
+    "WITH s AS (SELECT p_partkey AS k, (p_partkey % 40) * 100.0 AS ax, (p_partkey // 40 % 40) * 100.0 AS ay, (p_partkey % 40 + CAST(p_partkey % 2 = 0 AS INTEGER)) * 100.0 AS bx, (p_partkey // 40 % 40 + CAST(p_partkey % 2 <> 0 AS INTEGER)) * 100.0 AS ey FROM part), "
+    "v AS (SELECT k, 0 AS j, ax AS x, ay + 5 AS y FROM s UNION ALL SELECT k, 1, bx, ey + 5 FROM s), "
+    "t AS (SELECT v.k, j, w.k AS way, x, y, ax, ay, bx - ax AS dx, ey - ay AS dy, least(greatest(((x - ax) * (bx - ax) + (y - ay) * (ey - ay)) / ((bx - ax) * (bx - ax) + (ey - ay) * (ey - ay)), 0.0), 1.0) AS t FROM v JOIN s w ON abs(x - ax) <= 130 AND abs(y - ay) <= 130), "
+    "n AS (SELECT k, j, way, sqrt(pow(x - ax - t * dx, 2) + pow(y - ay - t * dy, 2)) AS g FROM t WHERE sqrt(pow(x - ax - t * dx, 2) + pow(y - ay - t * dy, 2)) <= 25), "
+    "b AS (SELECT k, j, arg_min(way, (g, way)) AS way, min(g) AS g FROM n GROUP BY 1, 2), "
+    "p AS (SELECT s.k, b0.way AS w0, CASE WHEN b0.way IS NOT NULL AND n1.g <= b1.g + 3 THEN b0.way ELSE b1.way END AS w1 FROM s LEFT JOIN b b0 ON b0.k = s.k AND b0.j = 0 LEFT JOIN b b1 ON b1.k = s.k AND b1.j = 1 LEFT JOIN n n1 ON n1.k = s.k AND n1.j = 1 AND n1.way = b0.way) "
+    "SELECT k AS pattern_id, CASE WHEN w1 IS NULL THEN 'uncovered' ELSE 'ok' END AS status, CASE WHEN w1 IS NULL THEN '' WHEN w0 IS NULL OR w0 = w1 THEN CAST(w1 AS VARCHAR) ELSE CAST(w0 AS VARCHAR) || ',' || CAST(w1 AS VARCHAR) END AS ways, CASE WHEN w1 IS NULL THEN 0.0 ELSE 1.0 END AS covered FROM p"
+)
 def snapped_polylines(spark, d):
     s = _streets(spark, d)
     vertices = s.select(F.col("name").alias("n"), F.col("id").alias("pattern_id"), F.posexplode(F.arrays_zip("lon_e6", "lat_e6")).alias("seq", "p"))
@@ -882,10 +883,3 @@ def snapped_polylines(spark, d):
     ways = s.select(F.col("id").alias("way_id"), *((F.get(c, k) / 10.0).alias(n) for n, c, k in (("ax", "lon_e6", 0), ("ay", "lat_e6", 0), ("bx", "lon_e6", 1), ("by", "lat_e6", 1))))
     out = tracing.snapped(vertices, ways)
     return out.select("pattern_id", "status", F.array_join("way_ids", ",").alias("ways"), F.round("covered", 6).alias("covered"))
-
-
-@query()
-def polyline_codec(spark, d):
-    pts = _points(spark, d).groupBy("p_brand").agg(F.sort_array(F.collect_list(F.struct("stop_id", "lat", "lon"))).alias("p")).select("p_brand", F.transform("p", lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"))).alias("p"))
-    coded = pts.select("p_brand", F.size("p").alias("points"), arrays.polyline_text("p").alias("text"))
-    return coded.select("p_brand", "points", F.size(arrays.polyline_points("text")).alias("decoded"))
