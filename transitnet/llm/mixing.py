@@ -80,14 +80,14 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: f
     """docs with columns size, source_size, target and copies (long): how often the mix takes each document.
 
     size is the text's number of words, 0 for null. The draw depends on the ids, sizes, sources and ``seed`` alone, so reruns
-    agree. A null source is the last source. Rows that repeat a doc_id within a source draw together, as one document of
+    agree; documents of equal size are paired in the order of their ids' hashes. A null source is the last source. Rows that repeat a doc_id within a source draw together, as one document of
     their common size, and are taken alike; so do rows of a source without a doc_id. A document without words is taken as its
     source's whole part says. Other columns pass through; those of the four names are replaced. An empty table gives an empty one.
     """
-    docs = docs.drop("size", "source_size", "target", "copies", "_draw")
+    docs = docs.drop("size", "source_size", "target", "copies", "_draw", "_size")
     sized = docs.withColumn("size", words_in(F.col("text")))
     key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
-    units = checkpointed(sized.groupBy(key.alias("key"), F.col("source"), F.xxhash64(key, F.col("doc_id")).alias("unit")).agg(F.sum("size").alias("size")))
+    units = checkpointed(sized.groupBy(key.alias("key"), F.col("source"), F.xxhash64(key, F.col("doc_id")).alias("unit")).agg(F.sum("size").alias("size"), F.count("*").alias("rows")))
     sources = checkpointed(targets(units.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most))
     ratio = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
     whole = F.floor(ratio + NEAR)
@@ -121,10 +121,11 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: f
         taken = taken.union(done.select(F.explode("done").alias("d")).where("d.take").select("d.unit"))
     taken = taken.withColumn("extra", F.lit(1))
 
-    # Every row by its unit; a source's rows are many, its numbers one row.
+    # Every row by its unit; a source's rows are many, its numbers one row. A unit of one row has that row's size, so words are counted once.
     drawn = units.join(taken, "unit", "left").join(sources.select("key", "source_size", "target", "whole"), "key")
-    drawn = drawn.select(F.col("unit").alias("_draw"), "source_size", "target", (F.col("whole") + F.coalesce("extra", F.lit(0))).alias("copies"))
-    return sized.withColumn("_draw", F.xxhash64(key, F.col("doc_id"))).join(drawn, "_draw").select(*docs.columns, "size", "source_size", "target", "copies")
+    drawn = drawn.select(F.col("unit").alias("_draw"), F.when(F.col("rows") == 1, F.col("size")).alias("_size"), "source_size", "target", (F.col("whole") + F.coalesce("extra", F.lit(0))).alias("copies"))
+    rows = docs.withColumn("_draw", F.xxhash64(key, F.col("doc_id"))).join(drawn, "_draw")
+    return rows.select(*docs.columns, F.coalesce("_size", words_in(F.col("text"))).alias("size"), "source_size", "target", "copies")
 
 
 def expand(mixed: DataFrame, columns: list[str]) -> DataFrame:
