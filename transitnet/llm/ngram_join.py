@@ -389,8 +389,8 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     Two documents link when den * |intersection| >= num * |union| of their sets of ``words``-word shingles
     (A-Z as a-z; a shorter text's whole sequence is its one shingle). component_id is the smallest doc_id reachable by links.
 
-    A null, empty or blank text has an empty set and links with nothing. Rows that repeat a doc_id are one node
-    with the links of all of them, and each returns a row. A null doc_id returns a row with its n_shingles and a null
+    A null, empty or blank text has an empty set and links with nothing; a very long one is searched whole. Rows that repeat a doc_id
+    are one node with the links of all of them, and each returns a row. A null doc_id returns a row with its n_shingles and a null
     component_id and links with nothing. Other columns are ignored, whatever their names. An empty table gives no rows.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
@@ -434,6 +434,12 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
         return checkpointed(rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(_search(num, den), "a long, b long"))
 
     links = searched(families if dealt is None else families.union(dealt_sets(dealt)))
+    # A doc_id that stands over different texts links them.
+    own = F.struct("d1", "d2", "n")
+    several = some.groupBy("doc_id").agg(F.min(own).alias("one"), F.max(own).alias("other")).where("one <> other").select("doc_id")
+    if not several.isEmpty():
+        named = some.join(several, "doc_id", "left_semi").select("doc_id", "d1", "d2", "n").distinct().join(reps, ["d1", "d2", "n"])
+        links = checkpointed(links.union(named.join(named.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b")))
     found = components(links)
     if split is not None and not split.isEmpty():
         # In each split group, all that the pivots have not joined with its largest component meets every chunk.
@@ -450,7 +456,6 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
             found = components(links.union(searched(dealt_sets(again))))
 
     ends = reps.select("d1", "d2", "n", "rep").join(found, F.col("rep") == F.col("node"), "left").select("d1", "d2", "n", F.coalesce("component", "rep").alias("component_id"))
-    # Rows that share a doc_id are one node, though their sets differ.
     rows = feats.select("doc_id", "n", "d1", "d2").join(ends, ["d1", "d2", "n"], "left")
     return rows.select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id")
