@@ -21,6 +21,8 @@ from transitnet.llm.common import WORD, chunks, training_sample
 
 #: The training sample: documents at most, and characters of each at most.
 SAMPLE_DOCS, SAMPLE_CHARS = 3000, 20_000
+#: Lines, padding included, of documents that are worked on together.
+LINES = 65_536
 #: Steps of the optimizer, its rate, and the weight of the penalty on the parameters' squares.
 STEPS, RATE, PENALTY = 200, 0.08, 1e-3
 
@@ -89,7 +91,13 @@ class Chain:
     def fit(self, docs: list[tuple[np.ndarray, int]]) -> Chain:
         """docs: features of all lines and the label that they share. Full-batch Adam on the mean log-likelihood."""
         docs = sorted(docs, key=lambda d: len(d[0]))
-        groups = [docs[k : k + 256] for k in range(0, len(docs), 256)]
+        groups: list[list[tuple[np.ndarray, int]]] = []
+        for d in docs:
+            # Documents of like length are padded together, to a bounded number of lines: those of very many lines by themselves.
+            if groups and len(groups[-1]) < 256 and (len(groups[-1]) + 1) * len(d[0]) <= LINES:
+                groups[-1].append(d)
+            else:
+                groups.append([d])
         packed = []
         for g in groups:
             lengths = np.array([len(x) for x, _ in g])
@@ -108,7 +116,7 @@ class Chain:
                 ahead, back = self._passes(score, lengths)
                 last = ahead[np.arange(len(y)), lengths - 1]
                 norm = np.logaddexp(last[:, 0], last[:, 1])[:, None]
-                p = np.exp(ahead + back - norm[..., None]) * real[..., None]
+                p = np.exp(np.minimum(ahead + back - norm[..., None], 0)) * real[..., None]  # what pads a document may exceed its sum
                 weight = 0.5 / np.where(y == 1, share[1], share[0]) / lengths  # classes and documents count alike
                 off = (real * (y[:, None] - p[..., 1])) * weight[:, None]
                 grad[: len(self.w)] += np.einsum("dl,dlf->f", off, x)
@@ -156,8 +164,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qual
 def score(docs: DataFrame, chain: Chain, name: str = "score") -> DataFrame:
     """docs with the column ``name``: each text's quality, from 0 to 1. A null or empty text is one empty line.
 
-    Every row is scored by itself, so repeated rows get equal scores. Other columns pass through; one of that name is
-    replaced. An empty table gives an empty one.
+    Every row is scored by itself, whole, however many lines it has; repeated rows get equal scores. Other columns pass through;
+    one of that name is replaced. An empty table gives an empty one.
     """
     docs = docs.drop(name)
     at, names = docs.columns.index("text"), [*docs.columns, name]

@@ -197,8 +197,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxi
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """docs with the column ``name``: each text's probability to be toxic, from 0 to 1. A null or empty text has no words.
 
-    Every row is scored by itself, so repeated rows get equal scores. Other columns pass through; one of that name is
-    replaced. An empty table gives an empty one.
+    Every row is scored by itself, all its windows however long it is, so repeated rows get equal scores. Other columns pass through;
+    one of that name is replaced. An empty table gives an empty one.
     """
     docs = docs.drop(name)
     at, names = docs.columns.index("text"), [*docs.columns, name]
