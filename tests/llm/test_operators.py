@@ -105,6 +105,15 @@ def test_jaccard_awkward(spark, awkward):
     assert kept.columns == awkward.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 6, 8, 9, 10]
 
 
+def test_jaccard_of_ids_over_different_texts(spark):
+    a, b, c = (" ".join(words(random.Random(k), 40)) for k in range(3))
+    rows = [(5, a), (6, a), (6, b), (7, b), (8, c), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.jaccard_components(df).collect())
+    assert got == [(5, 38, 5), (6, 38, 5), (6, 38, 5), (7, 38, 5), (8, 0, 8), (8, 38, 8)]
+    assert sorted(r["doc_id"] for r in ngram_join.keep_one_of_each(df).collect()) == [5, 8, 8]
+
+
 def test_urls(spark, sf):
     urls = {
         "https://a.example.com/en/71?x": ("a.example.com", "/en/71", "example.com/en/7", "allow"), "http://EXAMPLE.com/en/8": ("example.com", "/en/8", "com/en/", "block"),
@@ -251,6 +260,14 @@ def test_quality_gradient_by_differences():
     assert (np.sign(moved) == np.sign(slope))[np.abs(slope) > 1e-6].all()
 
 
+def test_quality_of_many_lines(spark):
+    """Texts of very many lines are learnt from and scored beside short ones."""
+    rows = [("\n" * 19_000 + "#### $$$$ ||||", 0), ("Plain words in a line.\n" * 700, 1), ("#### $$$$\n" * 900, 0), ("one line of words", 1)] * 3
+    chain = quality_crf.Chain(3 * quality_crf.OWN).fit([(quality_crf.text_features(t)[0], y) for t, y in rows])
+    scores = chain.qualities([*(t for t, _ in rows[:4]), "\n" * 200_000])
+    assert scores[1] > 0.5 > scores[2] and all(0 <= s <= 1 for s in scores)
+
+
 def test_chain_marginals_by_enumeration():
     from itertools import product
 

@@ -41,3 +41,19 @@ def test_run(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert out.where("not round_trip").isEmpty() and out.count() > 50
     assert np.isfinite(out.agg(F.avg("n_tokens")).first()[0])
+
+
+def test_stages_of_awkward_rows(spark, sf, tmp_path):
+    """Nulls, blanks, long texts, repeats and further columns through all stages; then an empty table."""
+    from .test_operators import AWKWARD, DOCS
+
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.createDataFrame(AWKWARD, DOCS).withColumns({c: F.lit(7) for c in ("token", "score", "n_lines", "size", "copies", "ids", "component_id")})
+    some = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").withColumn("doc_id", F.col("doc_id") + 100)
+    for table in (docs, docs.limit(0), docs.unionByName(some, allowMissingColumns=True)):
+        now = table
+        for name, stage in corpus_pipeline.STAGES:
+            now = stage(spark, now, str(tmp_path)).persist()
+            assert name == "bpe" or now.columns == table.columns
+        assert now.where("not round_trip").isEmpty() and now.isEmpty() == table.isEmpty()
