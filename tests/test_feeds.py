@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from transitnet.operators import match, patterns, work
 from transitnet.schemas import TABLES, route_types
 from transitnet.sources import cif, gtfs, mapinfo, naptan, txc
-from transitnet.store import Store
+from transitnet.store import Store, upsert
 
 FEED = {
     "agency": "agency_id,agency_name,agency_url,agency_timezone\nOP1,Operator,http://x,Europe/London\n",
@@ -137,6 +137,21 @@ def test_store_survives_a_lost_writer(spark, tmp_path, monkeypatch):
         store.read("meta")
 
 
+def test_statuses_are_not_sent_whole(spark, tmp_path):
+    """Columns of nulls make 300,000 statuses look smaller than they are; the driver isn't to hold a table of all that was done."""
+    store = Store(spark, str(tmp_path / "root"))
+    done = spark.range(300_000).select(F.col("id").alias("pattern_id"), F.lit("ok").alias("status"))
+    store.commit({"match_status": done})
+    items = spark.range(300_010).select(F.col("id").alias("pattern_id"))
+    left = work.pending(items, store.read("match_status"))
+    cleared = work.retry({"match_status": store.read("match_status"), "links": items}, ["error"])["links"]
+    kept = [upsert(store.read("match_status"), store.read("match_status"), ["pattern_id"], c) for c in ("ignore", "replace")]
+    for df in (left, cleared, *kept):
+        assert "Broadcast" not in df._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(r["pattern_id"] for r in left.collect()) == list(range(300_000, 300_010))
+    assert store.insert("match_status", items.withColumn("status", F.lit("new")), ["pattern_id"], "ignore") == 10
+
+
 def test_batches_again_change_nothing(spark, tmp_path):
     store = Store(spark, str(tmp_path / "root"))
     edges = spark.createDataFrame([(7, "x"), (7, "y"), (8, "z")], "edge_id long, road_name string")

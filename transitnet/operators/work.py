@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transitnet.schemas import MATCH_STATUS, ROAD_MODES, TRANSIENT
-from transitnet.store import Store
+from transitnet.store import Store, unsent
 
 
 def current_feed(version: str | None) -> Column:
@@ -33,8 +33,8 @@ def traceable(patterns: DataFrame, version: str, over_shape: tuple[str, ...] = (
 
 
 def pending(items: DataFrame, status: DataFrame, key: str = "pattern_id", match_on: str | None = None) -> DataFrame:
-    """Items without a status: one anti join."""
-    return items.join(status.select(F.col(match_on or key).alias(key)), key, "left_anti")
+    """Items without a status: one anti join, by shuffle, as there are about as many statuses as items in the end."""
+    return items.join(unsent(status.select(F.col(match_on or key).alias(key))), key, "left_anti")
 
 
 def busiest_first(items: DataFrame, limit: int, weight: str = "n_trips", key: str = "pattern_id") -> DataFrame:
@@ -52,7 +52,7 @@ def expand_statuses(names: list[str]) -> list[str]:
 
 def retry(tables: dict[str, DataFrame], statuses: list[str], status_table: str = "match_status", key: str = "pattern_id") -> dict[str, DataFrame]:
     """The tables without the rows of items in those statuses, so that they are pending again. All tables are keyed alike."""
-    cleared = tables[status_table].where(F.col("status").isin(expand_statuses(statuses))).select(key)
+    cleared = unsent(tables[status_table].where(F.col("status").isin(expand_statuses(statuses))).select(key))
     return {name: df.join(cleared, key, "left_anti") for name, df in tables.items()}
 
 
