@@ -77,6 +77,37 @@ def test_snap_holds_on(spark):
     assert got == {1: ("ok", [5]), 2: ("uncovered", [])}
 
 
+def made(plan) -> int:
+    """The most rows that a node of an executed plan gave out."""
+    kind = plan.getClass().getSimpleName()
+    inner = plan.executedPlan() if kind == "AdaptiveSparkPlanExec" else plan.plan() if kind.endswith("QueryStageExec") else None
+    children = [inner] if inner is not None else [plan.children().apply(i) for i in range(plan.children().size())]
+    rows = plan.metrics().get("numOutputRows")
+    return max([rows.get().value() if rows.isDefined() else 0, *map(made, children)])
+
+
+def test_snap_to_copies_of_ways(spark):
+    """The rows joined follow the polylines, not polylines times copies; the least of equal ways is named, others stay apart."""
+    n, street, bend = 300, (0.0, 0.0, 100.0, 0.0), (100.0, 0.0, 100.0, 100.0)
+    v = spark.createDataFrame([(p, k, 90.0 * k, 1.0 + 60.0 * (k == 2)) for p in range(n) for k in range(2 + p % 2)], "pattern_id long, seq int, x double, y double")
+    big = 2**60 + 1
+    ways = [(big + k, *street) for k in range(n)] + [(7, *s) for s in (street, bend)] + [(9, *s) for s in (bend, street, street)] + [(8, *bend), (None, *street)]
+    s = spark.createDataFrame(ways, "way_id long, ax double, ay double, bx double, by double")
+    out = tracing.snapped(v, s)
+    assert {(r["status"], tuple(r["way_ids"]), round(r["worst_m"], 9)) for r in out.where("pattern_id % 2 = 0").collect()} == {("ok", (7,), 1.0)}
+    apart = tracing.snapped(v, s.where(f"way_id >= {big}"))
+    got = {r["pattern_id"]: (r["status"], r["way_ids"], r["covered"]) for r in apart.collect()}
+    assert all(got[p][:2] == ("ok", [big]) for p in range(0, n, 2)) and all(got[p][0] == "uncovered" and 0 < got[p][2] < 1 for p in range(1, n, 2))
+    assert made(apart._jdf.queryExecution().executedPlan()) < 10 * n
+
+
+def test_snap_without_places(spark):
+    v = spark.createDataFrame([(1, 0, None, 1.0), (1, 1, 5.0, 1.0), (2, 0, 5.0, 1.0), (2, 1, 5.0, 1.0), (3, 0, 0.0, 1.0), (3, 1, 9.0, 1.0)], "pattern_id long, seq int, x double, y double")
+    s = spark.createDataFrame([(5, 0.0, 0.0, 50.0, 0.0), (4, None, 0.0, 50.0, 0.0)], "way_id long, ax double, ay double, bx double, by double")
+    got = {r["pattern_id"]: (r["status"], r["way_ids"], r["covered"]) for r in tracing.snapped(v, s).collect()}
+    assert got == {1: ("uncovered", [], 0.0), 2: ("uncovered", [], 0.0), 3: ("ok", [5], 1.0)}
+
+
 def varint(n):
     out = b""
     while n > 127:

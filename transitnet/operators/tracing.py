@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -218,41 +219,49 @@ def snapped(vertices: DataFrame, segments: DataFrame) -> DataFrame:
     vertices (pattern_id, seq, x, y) and segments (way_id, ax, ay, bx, by) in metres of one plane. Candidates within SNAP_M come from an equi-join by
     cell, a segment standing in all cells of its box and one around; then each polyline is scanned in order, staying on its way
     unless another is nearer by STICK_M. A polyline is refused where less than COVER of its length is near a way.
+
+    Ways of the same segments are equally far from every vertex, so only the least of them is ever the nearest: it alone is joined, and
+    the work follows the polylines and the different ways near them, not the copies of a way. Segments without a way are left out.
     """
     size = 100.0
+    drawn = segments.where("way_id is not null").groupBy("way_id").agg(F.sort_array(F.collect_set(F.struct("ax", "ay", "bx", "by"))).alias("drawn"))
+    ways = drawn.groupBy("drawn").agg(F.min("way_id").alias("way_id")).select("way_id", F.inline("drawn"))
     lo = lambda a, b: F.floor((F.least(F.col(a), F.col(b)) - SNAP_M) / size).cast("long")
     hi = lambda a, b: F.floor((F.greatest(F.col(a), F.col(b)) + SNAP_M) / size).cast("long")
-    cells = segments.withColumn("cx", F.explode(F.sequence(lo("ax", "bx"), hi("ax", "bx")))).withColumn("cy", F.explode(F.sequence(lo("ay", "by"), hi("ay", "by"))))
-    rows = vertices.withColumns({"cx": F.floor(F.col("x") / size).cast("long"), "cy": F.floor(F.col("y") / size).cast("long")}).join(cells, ["cx", "cy"], "left")
+    cells = ways.withColumn("wx", F.explode(F.sequence(lo("ax", "bx"), hi("ax", "bx")))).withColumn("wy", F.explode(F.sequence(lo("ay", "by"), hi("ay", "by"))))
     dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
     t = F.coalesce(F.try_divide((F.col("x") - F.col("ax")) * dx + (F.col("y") - F.col("ay")) * dy, dx * dx + dy * dy), F.lit(0.0))
     t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
     d = F.sqrt(F.pow(F.col("x") - F.col("ax") - t * dx, 2) + F.pow(F.col("y") - F.col("ay") - t * dy, 2))
-    rows = rows.withColumn("d", d).groupBy("pattern_id", "seq", "x", "y", "way_id").agg(F.min("d").alias("d"))
-    near = F.collect_list(F.when(F.col("d") <= SNAP_M, F.struct("d", "way_id")))
-    rows = rows.groupBy("pattern_id", "seq", "x", "y").agg(F.sort_array(near).alias("near"))
+    at = vertices.withColumns({"cx": F.floor(F.col("x") / size).cast("long"), "cy": F.floor(F.col("y") / size).cast("long")})
+    rows = at.join(cells, (F.col("cx") == F.col("wx")) & (F.col("cy") == F.col("wy")) & (d <= SNAP_M), "left").select("pattern_id", "seq", "x", "y", "way_id", d.alias("d"))
+    near = F.collect_list(F.when(F.col("way_id").isNotNull(), F.struct("d", "way_id")))
+    rows = rows.repartition("pattern_id").groupBy("pattern_id", "seq", "x", "y").agg(F.sort_array(near).alias("near"))
     lines = rows.groupBy("pattern_id").agg(F.sort_array(F.collect_list(F.struct("seq", "x", "y", "near"))).alias("line"))
-
-    def scan(line) -> tuple[str, list[int], float, float]:
-        now, ways, worst, covered, total, before = None, [], 0.0, 0.0, 0.0, None
-        for r in line:
-            step = math.hypot(r["x"] - before[0], r["y"] - before[1]) if before is not None else 0.0
-            options = {n["way_id"]: n["d"] for n in reversed(r["near"])}
-            if options:
-                best = r["near"][0]
-                now = now if now in options and options[now] <= best["d"] + STICK_M else best["way_id"]
+    # Plain arrays, which Arrow hands over without an object for each vertex and candidate.
+    flat = F.flatten("line.near")
+    lines = lines.select("pattern_id", F.col("line.x").alias("x"), F.col("line.y").alias("y"), F.transform("line.near", F.size).alias("n"), flat["d"].alias("d"), flat["way_id"].alias("way"))
+
+    def scan(xs, ys, counts, ds, ids) -> tuple[str, list[int], float, float]:
+        now, ways, worst, covered, total, before, k = None, {}, 0.0, 0.0, 0.0, None, 0
+        for x, y, n in zip(xs, ys, counts, strict=True):
+            step = math.hypot(x - before[0], y - before[1]) if before is not None else 0.0
+            if n:
+                # By rising distance: of a way's segments the nearest comes last here and stays.
+                options = dict(zip(ids[k : k + n][::-1], ds[k : k + n][::-1], strict=True))
+                now = now if now in options and options[now] <= ds[k] + STICK_M else ids[k]
                 worst = max(worst, options[now])
                 covered += step
-                if now not in ways:
-                    ways.append(now)
+                ways[now] = None
             total += step
-            before = r["x"], r["y"]
-        share = covered / total if total else 0.0
-        return "ok" if share >= COVER else "uncovered", ways if share >= COVER else [], share, worst
+            before, k = (x, y), k + n
+        share = covered / total if total > 0 else 0.0
+        return "ok" if share >= COVER else "uncovered", list(ways) if share >= COVER else [], share, worst
 
     def run(batches):
         for pdf in batches:
-            yield pd.DataFrame([(p, *scan(line)) for p, line in zip(pdf["pattern_id"], pdf["line"], strict=True)], columns=["pattern_id", "status", "way_ids", "covered", "worst_m"])
+            arrays = zip(*(map(np.ndarray.tolist, pdf[c]) for c in ("x", "y", "n", "d", "way")), strict=True)
+            yield pd.DataFrame([(p, *scan(*line)) for p, line in zip(pdf["pattern_id"], arrays, strict=True)], columns=["pattern_id", "status", "way_ids", "covered", "worst_m"])
 
     return lines.mapInPandas(run, "pattern_id long, status string, way_ids array<long>, covered double, worst_m double")
 
