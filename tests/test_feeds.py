@@ -152,6 +152,24 @@ def test_statuses_are_not_sent_whole(spark, tmp_path):
     assert store.insert("match_status", items.withColumn("status", F.lit("new")), ["pattern_id"], "ignore") == 10
 
 
+def test_a_batch_is_loaded_once(spark, tmp_path):
+    store, seen = Store(spark, str(tmp_path / "root")), spark.sparkContext.accumulator(0)
+    items = spark.range(6).select(F.col("id").alias("pattern_id"))
+
+    def counted(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    def process(batch):
+        links = batch.select("pattern_id", F.lit(0).alias("seq"), F.lit(5).alias("edge_id"))
+        return {"match_status": batch.withColumn("status", F.lit("ok")), "pattern_edges": links, "edges": links.select("edge_id")}
+
+    load = lambda n: work.pending(items, store.read("match_status")).orderBy("pattern_id").limit(n).mapInPandas(counted, "pattern_id long")
+    assert work.run(store, load, process, 3) == 6
+    assert (store.read("pattern_edges").count(), store.read("edges").count(), seen.value) == (6, 1, 6)
+
+
 def test_batches_again_change_nothing(spark, tmp_path):
     store = Store(spark, str(tmp_path / "root"))
     edges = spark.createDataFrame([(7, "x"), (7, "y"), (8, "z")], "edge_id long, road_name string")

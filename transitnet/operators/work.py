@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from transitnet.operators.graph import checkpointed
 from transitnet.schemas import MATCH_STATUS, ROAD_MODES, TRANSIENT
 from transitnet.store import Store, unsent
 
@@ -82,11 +83,12 @@ def run(
 
     A batch is the unit that a lost job repeats. ``load(n)`` gives at most n pending items, ``process`` the rows for each table, of
     which the first holds one status for each item. Rows are added by CONFLICTS, so a batch that is repeated changes nothing
-    and an edge that several patterns use is there once.
+    and an edge that several patterns use is there once. A batch is loaded once and kept in the shared folder, as each of its tables
+    reads it again.
     """
     done, began = 0, time.monotonic()
     while (limit is None or done < limit) and (max_seconds is None or time.monotonic() - began < max_seconds):
-        items = load(min(batch, limit - done) if limit else batch)
+        items = checkpointed(load(min(batch, limit - done) if limit else batch))
         if items.isEmpty():
             break
         rows = process(items)
