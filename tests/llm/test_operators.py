@@ -208,6 +208,47 @@ def test_bloom_filters_merge():
     assert seen.may_repeat(np.array([hashes[0], *hashes[30:40]])).all() and seen.may_repeat(np.array(hashes[41:])).mean() < 0.2
 
 
+def test_bloom_filters_merge_by_pieces(spark, monkeypatch):
+    """Pieces of several partitions give the pair that whole filters give; no Python worker of an RDD is started for them."""
+    from pyspark.rdd import RDD
+
+    lines = [f"a line of forty characters at the least, {k}" for k in range(30)]
+    texts = ["\n".join(lines[k : k + 4]) for k in range(27)] + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    expected = None
+    for t in texts:
+        seen = line_dedup.Seen(1 << 17)
+        seen.add(line_dedup._array(list(line_dedup._hashed(t, 40))))
+        expected = line_dedup.merged(expected, seen.packed())
+    monkeypatch.setattr(RDD, "mapPartitionsWithIndex", None)
+    parts = df.mapInArrow(line_dedup._fill(1 << 17, 40), "piece long, once binary, twice binary")
+    assert line_dedup._merged_filters(parts, 1 << 17) == expected
+    assert line_dedup._merged_filters(parts.limit(0), 1 << 17) == line_dedup.Seen(1 << 17).packed()
+
+
+def test_workers_hold_little_at_once():
+    """Arrays follow a bound, not the number of distinct words or bytes that a worker is given, and the results don't change."""
+    import tracemalloc
+
+    draw = random.Random(5)
+    text = " ".join("".join(draw.choices("abcdefghijklmnop", k=9)) for _ in range(60_000))
+    model = toxicity.Model(np.random.default_rng(2).standard_normal(toxicity.BUCKETS).astype(np.float32), -3.0)
+    words = toxicity.text_words(text)
+    found, owner = toxicity.subwords(words)
+    gain = model.gains[found]
+    expected = np.bincount(owner, gain, len(words)) / np.maximum(np.bincount(owner[gain != 0], minlength=len(words)), 1)
+    data = text.encode() * 4
+    hashed = ngram_join._hash_words(np.frombuffer(data, np.uint8))[1]
+    ngram_join._POWERS.clear()
+    tracemalloc.start()
+    try:
+        assert (model.words(words) == expected).all() and tracemalloc.get_traced_memory()[1] < 15e6
+        tracemalloc.reset_peak()
+        assert (ngram_join.word_hashes([data])[0] == hashed).all() and tracemalloc.get_traced_memory()[1] < 30e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_quality_crf(spark, sf, docs, awkward):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     out = registry.op3_quality_crf(spark, sf).join(labels, "doc_id").toPandas()

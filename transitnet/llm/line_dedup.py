@@ -1,7 +1,7 @@
 """Line dedup: two Bloom filters find suspects, an exact count of the suspects decides.
 
-One pass fills, in each partition, a filter of hashes seen once and one of hashes seen twice; partial filters merge in a
-tree (seen twice: in either's twice, or in both's once). The merged "twice" filter has a fixed bound and goes to
+One pass fills, in each partition, a filter of hashes seen once and one of hashes seen twice; partial filters merge piece
+by piece (seen twice: in either's twice, or in both's once). The merged "twice" filter has a fixed bound and goes to
 all executors. A second pass sends only the hashes that it holds through a shuffle, where they are counted exactly,
 so the filter's false positives cost time but change nothing, and a filter that a larger corpus fills up sends more. Texts stay
 where they are: the confirmed hashes, with the document that keeps each line, go to all executors if they are few, and beyond a
@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +26,9 @@ from transitnet.llm.common import SEPARATORS, checkpointed
 BYTES_A_BIT, LEAST_BITS, MOST_BITS = 16, 1 << 18, 1 << 28
 #: Columns that exist between the join and the result.
 DROPS, DROP_ID = "__line_dedup_drops", "__line_dedup_id"
-#: Filters that are merged into one at each level.
-FAN_IN = 16
+#: Bytes of a piece of a filter; a batch of 10,000 pairs of them is 40 MB at most.
+PIECE = 1 << 11
+PIECES = pa.schema([("piece", pa.int64()), ("once", pa.binary()), ("twice", pa.binary())])
 #: Bits set for each hash.
 PROBES = 4
 #: Confirmed hashes that are sent to all executors, 24 bytes each.
@@ -85,6 +85,12 @@ class Seen:
     def packed(self) -> tuple[bytes, bytes]:
         return zlib.compress(self.once.tobytes(), 1), zlib.compress(self.twice.tobytes(), 1)
 
+    def pieces(self) -> pa.RecordBatch:
+        """(number, once, twice) of the pieces that hold anything."""
+        some = np.flatnonzero(np.logical_or.reduceat(self.once, np.arange(0, len(self.once), PIECE)))
+        once, twice = ([zlib.compress(table[k * PIECE : (k + 1) * PIECE].tobytes(), 1) for k in some] for table in (self.once, self.twice))
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(once, pa.binary()), pa.array(twice, pa.binary())], schema=PIECES)
+
 
 def merged(a: tuple[bytes, bytes] | None, b: tuple[bytes, bytes] | None) -> tuple[bytes, bytes] | None:
     """The filters of both inputs together; a hash that each has seen once has been seen twice."""
@@ -106,8 +112,7 @@ def _fill(bits: int, least_chars: int):
             for text in batch.column(0):
                 held += _hashed(text.as_py(), least_chars)
             seen.add(_array(held))
-        once, twice = seen.packed()
-        yield pa.RecordBatch.from_arrays([pa.array([once], pa.binary()), pa.array([twice], pa.binary())], names=["once", "twice"])
+        yield seen.pieces()
 
     return run
 
@@ -145,8 +150,7 @@ def _fill_ids(bits: int):
         seen = Seen(bits)
         for batch in batches:
             seen._put(seen.once, _places(_ids(batch.column(0).to_numpy()), bits))
-        once, twice = seen.packed()
-        yield pa.RecordBatch.from_arrays([pa.array([once], pa.binary()), pa.array([twice], pa.binary())], names=["once", "twice"])
+        yield seen.pieces()
 
     return run
 
@@ -218,15 +222,26 @@ def _drop(text_at: int, id_at: int, names: list[str], least_chars: int, sent=Non
     return run
 
 
-def _merged_filters(parts: DataFrame) -> tuple[bytes, bytes] | None:
-    """The filters of all partitions, merged FAN_IN by FAN_IN on the executors, so that one pair reaches the driver."""
-    keyed = parts.rdd.map(lambda r: (bytes(r[0]), bytes(r[1]))).mapPartitionsWithIndex(lambda k, rows: [(k, pair) for pair in [reduce(merged, rows, None)] if pair])
-    left = keyed.getNumPartitions()
-    while left > 1:
-        left = -(-left // FAN_IN)
-        keyed = keyed.map(lambda pair: (pair[0] // FAN_IN, pair[1])).reduceByKey(merged, left)
-    found = keyed.values().collect()
-    return found[0] if found else None
+def _merge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[int, tuple[bytes, bytes]] = {}
+    for batch in batches:
+        for k, once, twice in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            held[k] = merged(held.get(k), (once.as_py(), twice.as_py()))
+    columns = [*zip(*held.values(), strict=True)] or [(), ()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), *(pa.array(x, pa.binary()) for x in columns)], schema=PIECES)
+
+
+def _merged_filters(parts: DataFrame, bits: int) -> tuple[bytes, bytes]:
+    """The filters of all partitions. A piece's rows are merged in one task, so that one pair reaches the driver.
+
+    In mapInArrow, as all else here: functions over an RDD have Python workers of their own, which stay beside the others.
+    """
+    found = parts.repartition("piece").mapInArrow(_merge_pieces, parts.schema).toArrow()
+    whole = np.zeros((2, bits // 8), np.uint8)
+    for k, *pair in zip(*(c.to_pylist() for c in found.columns), strict=True):
+        for table, data in zip(whole, pair, strict=True):
+            table[k * PIECE : (k + 1) * PIECE] = np.frombuffer(zlib.decompress(data), np.uint8)
+    return zlib.compress(whole[0].tobytes(), 1), zlib.compress(whole[1].tobytes(), 1)
 
 
 def filter_bits(df: DataFrame) -> int:
@@ -253,13 +268,10 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, bit
     context = docs.sparkSession.sparkContext
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     bits = bits or filter_bits(docs)
-    filters = _merged_filters(rows.select("text").mapInArrow(_fill(bits, least_chars), "once binary, twice binary"))
-    if filters is None:
-        suspects = rows.select(F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"), "doc_id").limit(0)
-    else:
-        twice = context.broadcast(filters[1])
-        suspects = checkpointed(rows.mapInArrow(_suspects(twice, bits, least_chars), "h1 long, h2 long, doc_id long"))
-        twice.destroy()
+    pieces = "piece long, once binary, twice binary"
+    twice = context.broadcast(_merged_filters(rows.select("text").mapInArrow(_fill(bits, least_chars), pieces), bits)[1])
+    suspects = checkpointed(rows.mapInArrow(_suspects(twice, bits, least_chars), "h1 long, h2 long, doc_id long"))
+    twice.destroy()
     # Checkpointed, the counts are dealt out anew for the join, which adaptive execution can then split at a hot line.
     counted = checkpointed(suspects.distinct().groupBy("h1", "h2").agg(F.count("*").alias("k"), F.max("doc_id").alias("keeper")).where(F.col("k") >= least_docs))
     columns = docs.columns
@@ -272,7 +284,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, bit
     drops = suspects.join(counted, ["h1", "h2"]).where("doc_id <> keeper")
     drops = checkpointed(drops.groupBy(F.col("doc_id").alias(DROP_ID)).agg(F.collect_set(F.struct("h1", "h2")).alias(DROPS)))
     id_bits = MOST_BITS if bits > LEAST_BITS else LEAST_BITS
-    held = context.broadcast(_merged_filters(drops.select(DROP_ID).mapInArrow(_fill_ids(id_bits), "once binary, twice binary"))[0])
+    held = context.broadcast(_merged_filters(drops.select(DROP_ID).mapInArrow(_fill_ids(id_bits), pieces), id_bits)[0])
     flagged = docs.mapInArrow(_affected(held, id_bits, id_at, [*columns, DROPS]), StructType([*docs.schema.fields, StructField(DROPS, BooleanType())]))
     touched = flagged.where(DROPS).drop(DROPS).join(drops, F.col("doc_id").cast("long") == F.col(DROP_ID), "left").drop(DROP_ID)
     rest = flagged.where(f"not {DROPS}").drop(DROPS).withColumn(DROPS, F.lit(None).cast(drops.schema[DROPS].dataType))

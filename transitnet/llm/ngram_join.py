@@ -30,8 +30,8 @@ UNIT_DOCS, UNIT_TOKENS, PIECE = 8192, 2_000_000, 16
 PIVOTS = 64
 #: Candidates whose ids are broadcast to pick their texts; more of them are joined by a shuffle of the texts.
 BROADCAST = 500_000
-#: Bytes of text that are hashed at once.
-SEGMENT = 1 << 20
+#: Bytes of text that are hashed at once; a worker holds some fifty times as many for it.
+SEGMENT = 1 << 18
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -125,7 +125,7 @@ def _features(words: int, num: int, den: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            rows = zip(batch.column(0).to_pylist(), (t.as_py() for t in batch.column(1)), strict=True)
             for part in chunks(rows, lambda x: len(x[1] or b""), 4 * SEGMENT):
                 ns, d1, d2, firsts = [], [], [], []
                 for w in word_hashes([t or b"" for _, t in part]):
@@ -153,7 +153,7 @@ def _sets(words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            rows = zip(batch.column(0).to_pylist(), (t.as_py() for t in batch.column(1)), batch.column(2).to_pylist(), strict=True)
             for part in chunks(rows, lambda x: len(x[1] or b""), 2 * SEGMENT):
                 sets = [shingle_set(w, words).view(np.int64) for w in word_hashes([t or b"" for _, t, _ in part])]
                 lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, sets)]).astype(np.int32), pa.array(np.concatenate(sets)))

@@ -24,8 +24,8 @@ SAMPLE_DOCS, SAMPLE_CHARS = 4000, 10_000
 BUCKETS, WIDTH, GRAMS = 1 << 19, 8, (3, 4, 5)
 #: Words whose vectors are averaged; the longest piece of a word that is hashed at once, and the step to the next.
 WINDOW, PIECE, STRIDE = 10, 24, 18
-#: Characters of text whose words are looked up together.
-STRETCH = 2_000_000
+#: Characters of text whose words are looked up together, and distinct words of them that are cut into n-grams at once: some 10 MB of arrays.
+STRETCH, TOGETHER = 2_000_000, 5_000
 #: A bucket is learnt from if words of so many documents, or more, fall into it; others add nothing.
 LEAST_SEEN = 3
 #: Steps of the optimizer at least, in whole passes over the sample; documents of a step, and its rate.
@@ -99,9 +99,12 @@ class Model:
 
     def words(self, words: list[str]) -> np.ndarray:
         """The mean gain of each word's subwords: what its vector adds by the linear softmax."""
-        found, owner = subwords(words)
-        gain = self.gains[found]
-        return np.bincount(owner, gain, len(words)) / np.maximum(np.bincount(owner[gain != 0], minlength=len(words)), 1)
+        means = [np.zeros(0)]
+        for at in range(0, len(words), TOGETHER):
+            found, owner = subwords(own := words[at : at + TOGETHER])
+            gain = self.gains[found]
+            means.append(np.bincount(owner, gain, len(own)) / np.maximum(np.bincount(owner[gain != 0], minlength=len(own)), 1))
+        return np.concatenate(means)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         known: dict[str, int] = {}
@@ -206,7 +209,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[np.ndarray] = [np.zeros(0)]
-            for part in chunks(((t,) for t in batch.column(at).to_pylist()), lambda t: len(t[0] or ""), STRETCH):
+            for part in chunks(((t.as_py(),) for t in batch.column(at)), lambda t: len(t[0] or ""), STRETCH):
                 out.append(model.scores([t for (t,) in part]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out), pa.float64())], names=names)
 
