@@ -249,6 +249,29 @@ def test_workers_hold_little_at_once():
         tracemalloc.stop()
 
 
+def test_workers_give_back():
+    """What Arrow's pool holds on to after a task is given back; the pipeline's stages run so."""
+    import pyarrow as pa
+
+    from transitnet.llm.common import given_back
+
+    def run(batches):
+        for batch in batches:
+            held = [pa.array(np.arange(k, k + 1000)).cast(pa.string()) for k in range(8_000)]
+            yield batch.slice(0, len(held) % 7)
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9))], names=["x"])
+    for _ in run(iter([batch])):
+        pass
+    kept = resident()
+    assert [x.num_rows for x in given_back(run)(iter([batch, batch]))] == [8_000 % 7] * 2
+    assert resident() < kept - 20e6
+
+
 def test_quality_crf(spark, sf, docs, awkward):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     out = registry.op3_quality_crf(spark, sf).join(labels, "doc_id").toPandas()

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from transitnet.llm.common import chunks
+from transitnet.llm.common import chunks, given_back
 
 #: Characters of a stretch of text, distinct words that are merged together (more would leave the processor's cache), and
 #: words that are remembered from one stretch to the next.
@@ -198,7 +198,7 @@ def encode(docs: DataFrame, path: str, pattern: str, name: str = "ids", decoded:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     added = [StructField(name, ArrayType(IntegerType())), *([StructField(decoded, BinaryType())] if decoded else [])]
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(given_back(run), StructType([*docs.schema.fields, *added]))
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def given_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run for mapInArrow, whose worker gives back what Arrow's pool keeps when a task ends: it stays for the next one, beside the JVM."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return tidied
+
+
 def chunks(items: Iterable[tuple], weight, most: int) -> Iterator[list[tuple]]:
     """Runs of items whose weights add up to about ``most``; one heavier item is a run of its own."""
     held, total = [], 0

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from transitnet.llm.common import SEPARATORS, checkpointed
+from transitnet.llm.common import SEPARATORS, checkpointed, given_back
 
 #: Bits of a filter: one for each BYTES_A_BIT bytes of input that the plan expects, between these powers of two.
 BYTES_A_BIT, LEAST_BITS, MOST_BITS = 16, 1 << 18, 1 << 28
@@ -236,7 +236,7 @@ def _merged_filters(parts: DataFrame, bits: int) -> tuple[bytes, bytes]:
 
     In mapInArrow, as all else here: functions over an RDD have Python workers of their own, which stay beside the others.
     """
-    found = parts.repartition("piece").mapInArrow(_merge_pieces, parts.schema).toArrow()
+    found = parts.repartition("piece").mapInArrow(given_back(_merge_pieces), parts.schema).toArrow()
     whole = np.zeros((2, bits // 8), np.uint8)
     for k, *pair in zip(*(c.to_pylist() for c in found.columns), strict=True):
         for table, data in zip(whole, pair, strict=True):
@@ -269,8 +269,8 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, bit
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     bits = bits or filter_bits(docs)
     pieces = "piece long, once binary, twice binary"
-    twice = context.broadcast(_merged_filters(rows.select("text").mapInArrow(_fill(bits, least_chars), pieces), bits)[1])
-    suspects = checkpointed(rows.mapInArrow(_suspects(twice, bits, least_chars), "h1 long, h2 long, doc_id long"))
+    twice = context.broadcast(_merged_filters(rows.select("text").mapInArrow(given_back(_fill(bits, least_chars)), pieces), bits)[1])
+    suspects = checkpointed(rows.mapInArrow(given_back(_suspects(twice, bits, least_chars)), "h1 long, h2 long, doc_id long"))
     twice.destroy()
     # Checkpointed, the counts are dealt out anew for the join, which adaptive execution can then split at a hot line.
     counted = checkpointed(suspects.distinct().groupBy("h1", "h2").agg(F.count("*").alias("k"), F.max("doc_id").alias("keeper")).where(F.col("k") >= least_docs))
@@ -280,7 +280,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, bit
     if counted.count() <= BROADCAST:
         found = counted.select("h1", "h2", "keeper").toPandas()
         sent = context.broadcast(tuple(found[c].to_numpy(np.int64) for c in ("h1", "h2", "keeper")))
-        return docs.mapInArrow(_drop(text_at, id_at, names, least_chars, sent=sent), schema)
+        return docs.mapInArrow(given_back(_drop(text_at, id_at, names, least_chars, sent=sent)), schema)
     drops = suspects.join(counted, ["h1", "h2"]).where("doc_id <> keeper")
     drops = checkpointed(drops.groupBy(F.col("doc_id").alias(DROP_ID)).agg(F.collect_set(F.struct("h1", "h2")).alias(DROPS)))
     id_bits = MOST_BITS if bits > LEAST_BITS else LEAST_BITS

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitnet.llm.common import checkpointed, chunks, components
+from transitnet.llm.common import checkpointed, chunks, components, given_back
 
 #: Most documents, and most tokens in all their sets, that one trie holds; tokens of one piece of an edge.
 UNIT_DOCS, UNIT_TOKENS, PIECE = 8192, 2_000_000, 16
@@ -394,7 +394,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     component_id and links with nothing. Other columns are ignored, whatever their names. An empty table gives no rows.
     """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    feats = checkpointed(text.mapInArrow(_features(words, num, den), "doc_id long, n long, d1 long, d2 long, first array<long>"))
+    feats = checkpointed(text.mapInArrow(given_back(_features(words, num, den)), "doc_id long, n long, d1 long, d2 long, first array<long>"))
     some = feats.where("n > 0 and doc_id is not null")
     reps = checkpointed(some.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")))
 
@@ -408,7 +408,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     members = members.select(F.col("rep").alias("doc_id"), unit.alias("unit"))
     if members.count() <= BROADCAST:
         members = F.broadcast(members)
-    sets = checkpointed(text.join(members, "doc_id").mapInArrow(_sets(words), "doc_id long, unit long, tokens array<long>"))
+    sets = checkpointed(text.join(members, "doc_id").mapInArrow(given_back(_sets(words)), "doc_id long, unit long, tokens array<long>"))
     families, dealt, split = sets.where("unit is not null").select("unit", "doc_id", "tokens"), None, None
     large = sets.where("unit is null").select("doc_id", "tokens")
     if not large.isEmpty():
@@ -431,7 +431,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
         return units.join(large, F.col("rep") == F.col("doc_id")).select("unit", "doc_id", "tokens")
 
     def searched(rows: DataFrame) -> DataFrame:
-        return checkpointed(rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(_search(num, den), "a long, b long"))
+        return checkpointed(rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(given_back(_search(num, den)), "a long, b long"))
 
     links = searched(families if dealt is None else families.union(dealt_sets(dealt)))
     # A doc_id that stands over different texts links them.

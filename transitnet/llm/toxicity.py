@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from transitnet.llm.common import chunks, training_sample
+from transitnet.llm.common import chunks, given_back, training_sample
 
 #: The training sample: documents at most, and characters of each at most.
 SAMPLE_DOCS, SAMPLE_CHARS = 4000, 10_000
@@ -213,4 +213,4 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
                 out.append(model.scores([t for (t,) in part]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out), pa.float64())], names=names)
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+    return docs.mapInArrow(given_back(run), StructType([*docs.schema.fields, StructField(name, DoubleType())]))
